@@ -17,15 +17,20 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "shiftwise", extra: dict | None = None) -> SparkSession:
+                app: str = "shiftwise", extra: dict | None = None,
+                driver_memory: str | None = "16g") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if driver_memory:
+        # local mode runs every task inside the driver JVM
+        conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
