@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftwise.config import ForecastConfig, LaborConfig, MartConfig
-from shiftwise.operators import evaluate, forecast, standards
+from shiftwise.operators import evaluate, forecast, models, standards
 from shiftwise.operators import mart as mart_op
 from shiftwise.operators import schedule as schedule_op
 from shiftwise.operators import split as split_op
@@ -87,6 +88,35 @@ class Workspace:
     def naive_best(self) -> DataFrame:
         return evaluate.forecast_best(self.naive_forecasts, self.naive_metrics)
 
+    @cached_property
+    def prepared(self) -> models.Prepared:
+        """Imputed train/holdout, persisted (memory, spilling to disk) because
+        fitting makes several passes; a lost block is recomputed from lineage."""
+        p = models.prepare(self.split.train, self.split.holdout)
+        return models.Prepared(p.train.persist(StorageLevel.MEMORY_AND_DISK),
+                               p.holdout.persist(StorageLevel.MEMORY_AND_DISK), p.medians)
+
+    @cached_property
+    def ridge_forecasts(self) -> DataFrame:
+        return models.ridge_forecast(self.prepared, self.fcfg)
+
+    @cached_property
+    def gbt_forecasts(self) -> DataFrame:
+        return models.gbt_forecast(self.prepared, self.fcfg)
+
+    @cached_property
+    def model_forecasts(self) -> DataFrame:
+        """Ridge and boosting forecasts stacked (fits both models)."""
+        return self.ridge_forecasts.unionByName(self.gbt_forecasts)
+
+    @cached_property
+    def model_metrics(self) -> DataFrame:
+        return evaluate.model_metrics(self.model_forecasts, self.split.start)
+
+    @cached_property
+    def model_best(self) -> DataFrame:
+        return evaluate.forecast_best(self.model_forecasts, self.model_metrics)
+
     @cached_property
     def mart_forecast(self) -> DataFrame:
         """The forecast the labor plan is built on (one model's rows)."""

@@ -326,6 +326,50 @@ register("validate_unmatched", lambda w: validate.unmatched_rows(w.mart),
                    count(*) FILTER (WHERE actual_weekly_sales = 0) AS rows_with_zero_actual,
                    count(*) FILTER (WHERE forecast_weekly_sales = 0) AS rows_with_zero_forecast
             FROM mart""", ops="V4")
+# --- MLlib forecasts (M4-M9, M11-M14) ----------------------------------------------
+from shiftwise.config import NUMERIC_FEATURES  # noqa: E402
+from shiftwise.operators import models  # noqa: E402
+
+register("impute_median", lambda w: models.fit_medians(w.split.train),
+         "SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in NUMERIC_FEATURES)
+         + " FROM train", {c: 6 for c in NUMERIC_FEATURES}, ops="M4")
+register("onehot_holdout", lambda w: models.onehot_features(w.prepared), None, ops="M5 M6")
+register("forecast_ridge", lambda w: w.ridge_forecasts, None, ops="M6 M7 M9 M10")
+register("forecast_gbt", lambda w: w.gbt_forecasts, None, ops="M8 M9 M10")
+register("model_metrics_ml", lambda w: w.model_metrics, None, ops="M11 M13 M14")
+register("forecast_best_ml", lambda w: w.model_best, None, ops="M12")
+# --- sources, sinks and the SQL catalog (A1, A2, A6, A7) ----------------------------
+def _csv_roundtrip(w):
+    import uuid
+
+    from shiftwise.session import checkpoint_dir
+    from shiftwise.sources import files, schemas
+
+    base = checkpoint_dir(w.spark, fallback="/tmp/shiftwise-checkpoint")
+    path = f"{base.rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
+    out = w.sales.select(F.col("store").alias("Store"), F.col("dept").alias("Dept"),
+                         F.col("date").alias("Date"), F.col("weekly_sales").alias("Weekly_Sales"),
+                         F.col("is_holiday").alias("IsHoliday"))
+    files.write_csv(out, path)
+    return files.read_csv(w.spark, path, schemas.SALES)
+
+
+register("src_csv_roundtrip", _csv_roundtrip,
+         "SELECT store, dept, date, weekly_sales, is_holiday AS isholiday FROM sales", ops="A1 A2 B1")
+
+
+def _sql_trend(w):
+    from shiftwise.plans import sql_api
+    return sql_api.sql(w, sql_api.WEEKLY_TREND_SQL)
+
+
+register("sql_weekly_trend", _sql_trend,
+         """SELECT week_date, sum(required_labor_hours) AS required_labor_hours,
+                   sum(available_labor_hours) AS available_labor_hours,
+                   sum(labor_gap_hours) AS labor_gap_hours,
+                   sum(overtime_risk_hours) AS overtime_risk_hours,
+                   sum(estimated_overtime_cost) AS estimated_overtime_cost
+            FROM mart GROUP BY week_date""", _wt, ops="A6 A7 K8")
 register("metrics_json", lambda w: evaluate.metrics_document(w.naive_metrics), None, ops="A4")
 
 

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The published pipeline is batch only (finite CSV inputs, no watermark, window
+or stateful operator), so there is no streaming operator to rebuild here.
+"""
