@@ -12,8 +12,9 @@ HOLIDAY_ISO_WEEKS = (6, 22, 27, 36, 47, 52)
 
 
 def monday(ts) -> Column:
-    """Monday of the ISO week containing ``ts``, as a DATE."""
-    return F.date_trunc("week", col(ts)).cast("date")
+    """Monday of the ISO week containing ``ts``, as a DATE (date arithmetic
+    only, no timestamp truncation per row)."""
+    return F.trunc(F.to_date(col(ts)), "week")
 
 
 def is_holiday_week(d) -> Column:

@@ -63,8 +63,17 @@ class Prepared:
     medians: dict
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give the iterative fits at least one partition per core: a small weekly
+    table read back from one file would otherwise train in a single task.
+    Large inputs already have more partitions and pass through unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def prepare(train: DataFrame, holdout: DataFrame, cols=NUMERIC_FEATURES) -> Prepared:
     """Impute both sides with medians fitted on train (model parameters)."""
+    train = spread(train)
     # a column with no value at all imputes to 0.0 instead of failing assembly
     medians = {c: (0.0 if v is None else v) for c, v in fit_medians(train, cols).first().asDict().items()}
     cats = {c: F.col(c).cast("string") for c in CATEGORICAL_FEATURES}

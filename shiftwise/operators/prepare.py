@@ -38,24 +38,23 @@ def fill_externals(df: DataFrame, cols=EXTERNAL_COLS, store: str = "store",
     later value, possibly from the next store.
 
     Computed without a window over a whole store or the whole table:
-      1. forward fill inside each (store, dept) series (same window spec and
-         shuffle as the lag features);
+      1. forward fill inside each (store, dept) series (same window
+         partitioning as the lag features);
       2. per series, its first and last present value (one small row per series);
       3. on that small table, the value carried from earlier departments of the
          store and the first value at or after this store;
       4. join the small table back on (store, dept) and coalesce.
     """
     cols = list(cols)
-    series = Window.partitionBy(store, dept).orderBy(date).rowsBetween(
+    upto = Window.partitionBy(store, dept).orderBy(date).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    filled = df.withColumns({f"__ff_{c}": F.last(c, ignorenulls=True).over(series) for c in cols})
-
-    firsts, lasts = [], []
-    for c in cols:
-        present = F.when(F.col(c).isNotNull(), F.struct(F.col(date).alias("d"), F.col(c).alias("v")))
-        firsts.append(F.min(present).getField("v").alias(f"__first_{c}"))
-        lasts.append(F.max(present).getField("v").alias(f"__last_{c}"))
-    summary = df.groupBy(store, dept).agg(*firsts, *lasts)
+    filled = df.withColumns({f"__ff_{c}": F.last(c, ignorenulls=True).over(upto) for c in cols})
+    # first / last present value per series: min_by / max_by skip rows whose
+    # ordering is NULL. Grouping by the window's own partition keys needs no
+    # further exchange of the fact table.
+    summary = filled.groupBy(store, dept).agg(
+        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(date))).alias(f"__first_{c}") for c in cols],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(date))).alias(f"__last_{c}") for c in cols])
 
     earlier = Window.partitionBy(store).orderBy(dept).rowsBetween(Window.unboundedPreceding, -1)
     whole_store = Window.partitionBy(store).orderBy(dept).rowsBetween(
@@ -70,9 +69,9 @@ def fill_externals(df: DataFrame, cols=EXTERNAL_COLS, store: str = "store",
     # store, so the single-partition window is bounded by the store count.
     per_store = carried.groupBy(store).agg(
         *[F.max(f"__sfirst_{c}").alias(f"__sfirst_{c}") for c in cols])
-    onward = Window.orderBy(store).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    later_stores = Window.orderBy(store).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     backfill = per_store.select(
-        store, *[F.first(f"__sfirst_{c}", ignorenulls=True).over(onward).alias(f"__back_{c}")
+        store, *[F.first(f"__sfirst_{c}", ignorenulls=True).over(later_stores).alias(f"__back_{c}")
                  for c in cols])
     fills = carried.join(backfill, store).select(
         store, dept, *[f"__carry_{c}" for c in cols], *[f"__back_{c}" for c in cols])

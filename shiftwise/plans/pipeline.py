@@ -2,13 +2,16 @@
 
 Every step returns a lazy DataFrame; nothing is collected. ``Workspace`` memoizes
 the DataFrame objects of one run so that each stage is declared once.
-``persist=True`` writes the feature table and the mart under the checkpoint
-folder and reads them back, cutting lineage so a lost executor recovers from
-files instead of recomputing the scans.
+The weekly inputs (sales, features) are written once per run under the
+checkpoint folder (``spark.checkpoint.dir``) and read back: the raw scans and
+joins run once, later stages and scalar subqueries read the small weekly
+tables, and a lost executor recovers from files instead of rescanning the raw
+data. ``persist=True`` does the same for the feature table and the mart.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -22,7 +25,7 @@ from shiftwise.operators import schedule as schedule_op
 from shiftwise.operators import split as split_op
 from shiftwise.operators.features import create_features
 from shiftwise.operators.prepare import prepare_modeling_data
-from shiftwise.session import materialize
+from shiftwise.session import DEFAULT_FALLBACK_DIR, materialize
 from shiftwise.sources import fixtures
 
 MART_MODEL = forecast.SEASONAL_NAIVE
@@ -34,19 +37,27 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, fcfg: ForecastConfig = ForecastConfig(),
                  lcfg: LaborConfig = LaborConfig(), mcfg: MartConfig = MartConfig(),
                  mart_model: str = MART_MODEL, persist: bool = False,
-                 fallback_dir: str | None = None):
+                 materialize_inputs: bool = True, fallback_dir: str | None = DEFAULT_FALLBACK_DIR):
         self.spark, self.sf_dir = spark, sf_dir
         self.fcfg, self.lcfg, self.mcfg = fcfg, lcfg, mcfg
         self.mart_model = mart_model
-        self.persist, self.fallback_dir = persist, fallback_dir
+        self.persist, self.materialize_inputs = persist, materialize_inputs
+        self.fallback_dir = fallback_dir
+        self.run_id = uuid.uuid4().hex
+
+    def _write(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name, self.fallback_dir, self.run_id)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name, self.fallback_dir) if self.persist else df
+        return self._write(df, name) if self.persist else df
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return self._write(df, name) if self.materialize_inputs or self.persist else df
 
     # inputs ---------------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:
-        return fixtures.derive_sales(self.spark, self.sf_dir)
+        return self._stage(fixtures.derive_sales(self.spark, self.sf_dir), "sales")
 
     @cached_property
     def stores(self) -> DataFrame:
@@ -54,7 +65,7 @@ class Workspace:
 
     @cached_property
     def features(self) -> DataFrame:
-        return fixtures.derive_features(self.spark, self.sf_dir)
+        return self._stage(fixtures.derive_features(self.spark, self.sf_dir), "features")
 
     @cached_property
     def test(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,15 +59,20 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return d
 
 
-def materialize(df: DataFrame, name: str, fallback_dir: str | None = None) -> DataFrame:
+DEFAULT_FALLBACK_DIR = "/tmp/shiftwise-checkpoint"
+
+
+def materialize(df: DataFrame, name: str, fallback_dir: str | None = DEFAULT_FALLBACK_DIR,
+                run_id: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
     Cuts lineage so a lost executor re-reads files instead of recomputing the
-    whole upstream plan.
+    whole upstream plan, and gives the planner real file sizes for its join
+    choices. ``fallback_dir`` is used only when the session names no folder.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark, fallback_dir)
-    path = os.path.join(base, "tables", name)
+    path = os.path.join(base, "tables", run_id or uuid.uuid4().hex, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
