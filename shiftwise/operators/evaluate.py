@@ -46,8 +46,8 @@ def forecast_best(forecasts: DataFrame, metrics: DataFrame) -> DataFrame:
     return forecasts.join(F.broadcast(best), "model_name", "left_semi")
 
 
-def metrics_document(metrics: DataFrame) -> DataFrame:
-    """``{best_model, models: [...]}`` as one JSON string, models by WAPE.
+def metrics_struct(metrics: DataFrame) -> DataFrame:
+    """One row ``(best_model, models: array<struct>)``, models by WAPE.
 
     The array holds one element per model (a handful), so the single row is
     bounded by the number of models, not by data size.
@@ -60,6 +60,11 @@ def metrics_document(metrics: DataFrame) -> DataFrame:
         F.date_format(m["holdout_start"], "yyyy-MM-dd").alias("holdout_start"),
         F.date_format(m["holdout_end"], "yyyy-MM-dd").alias("holdout_end"),
         m["holdout_rows"].alias("holdout_rows"), m["mae"].alias("mae"), m["wape"].alias("wape")))
-    doc = metrics.agg(F.min_by("model_name", _rank_key()).alias("best_model"),
-                      models.alias("models"))
+    return metrics.agg(F.min_by("model_name", _rank_key()).alias("best_model"),
+                       models.alias("models"))
+
+
+def metrics_document(metrics: DataFrame) -> DataFrame:
+    """The same document as one JSON string."""
+    doc = metrics_struct(metrics)
     return doc.select(F.to_json(F.struct("best_model", "models")).alias("metrics_json"))
