@@ -37,8 +37,10 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, fcfg: ForecastConfig = ForecastConfig(),
                  lcfg: LaborConfig = LaborConfig(), mcfg: MartConfig = MartConfig(),
                  mart_model: str = MART_MODEL, persist: bool = False,
-                 materialize_inputs: bool = True, fallback_dir: str | None = DEFAULT_FALLBACK_DIR):
+                 materialize_inputs: bool = True, fallback_dir: str | None = DEFAULT_FALLBACK_DIR,
+                 dept_grain: str = "type"):
         self.spark, self.sf_dir = spark, sf_dir
+        self.dept_grain = dept_grain
         self.fcfg, self.lcfg, self.mcfg = fcfg, lcfg, mcfg
         self.mart_model = mart_model
         self.persist, self.materialize_inputs = persist, materialize_inputs
@@ -57,7 +59,7 @@ class Workspace:
     # inputs ---------------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:
-        return self._stage(fixtures.derive_sales(self.spark, self.sf_dir), "sales")
+        return self._stage(fixtures.derive_sales(self.spark, self.sf_dir, self.dept_grain), "sales")
 
     @cached_property
     def stores(self) -> DataFrame:

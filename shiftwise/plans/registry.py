@@ -29,9 +29,10 @@ from shiftwise.plans.pipeline import Workspace
 class Query:
     name: str
     plan: Callable[[Workspace], DataFrame]
-    sql: str | None = None
+    sql: str | None = None  # final SELECT; the CTEs are added by oracle_text
     rounding: dict = field(default_factory=dict)
     ops: str = ""
+    grain: str = "type"
 
 
 def _round_spark(df: DataFrame, rounding: dict) -> DataFrame:
@@ -50,8 +51,9 @@ def _round_sql(sql: str, rounding: dict) -> str:
 _REGISTRY: dict[str, Query] = {}
 
 
-def register(name, plan, select=None, rounding=None, ops=""):
-    _REGISTRY[name] = Query(name, plan, with_ctes(select) if select else None, rounding or {}, ops)
+def register(name, plan, select=None, rounding=None, ops="", grain="type"):
+    """``select`` is the final SELECT over the shared CTEs (``plans.oracle``)."""
+    _REGISTRY[name] = Query(name, plan, select, rounding or {}, ops, grain)
 
 
 def sums(*cols, digits=4):
@@ -370,6 +372,15 @@ register("sql_weekly_trend", _sql_trend,
                    sum(overtime_risk_hours) AS overtime_risk_hours,
                    sum(estimated_overtime_cost) AS estimated_overtime_cost
             FROM mart GROUP BY week_date""", _wt, ops="A6 A7 K8")
+# --- the larger department grain (brand x type), for volume -------------------------
+register("bt_feature_table", lambda w: w.feature_table, "SELECT * FROM feat", ops="M2 volume",
+         grain="brand_type")
+register("bt_mart_workforce", lambda w: w.mart, "SELECT * FROM mart", ops="R* volume",
+         grain="brand_type")
+register("bt_mart_store_week", lambda w: rollups.store_week_summary(w.mart),
+         _REGISTRY["mart_store_week"].sql, _sw, ops="K1 volume", grain="brand_type")
+register("bt_labor_standards", lambda w: w.labor_standards, "SELECT * FROM standards",
+         ops="L1-L4 volume", grain="brand_type")
 register("metrics_json", lambda w: evaluate.metrics_document(w.naive_metrics), None, ops="A4")
 
 
@@ -380,10 +391,10 @@ def all_queries() -> dict[str, Query]:
 def spark_callable(q: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return _round_spark(q.plan(Workspace(spark, sf_dir)), q.rounding)
+        return _round_spark(q.plan(Workspace(spark, sf_dir, dept_grain=q.grain)), q.rounding)
     run.__name__ = q.name
     return run
 
 
 def oracle_text(q: Query) -> str | None:
-    return _round_sql(q.sql, q.rounding) if q.sql else None
+    return _round_sql(with_ctes(q.sql, q.grain), q.rounding) if q.sql else None
