@@ -17,8 +17,9 @@ TABLES = ("raw_train_sales", "raw_features", "raw_stores", "raw_test_sales",
           "analytics_labor_standards", "analytics_simulated_schedule")
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
 
 
 def drop_existing(spark: SparkSession, database: str | None = None) -> None:
