@@ -83,8 +83,10 @@ def prepare(train: DataFrame, holdout: DataFrame, cols=NUMERIC_FEATURES) -> Prep
 
 
 def _indexers():
-    return [StringIndexer(inputCol=f"{c}_cat", outputCol=f"{c}_idx", handleInvalid="keep",
-                          stringOrderType="alphabetAsc") for c in CATEGORICAL_FEATURES]
+    """One multi-column indexer: all label counts in a single pass over the data."""
+    return [StringIndexer(inputCols=[f"{c}_cat" for c in CATEGORICAL_FEATURES],
+                          outputCols=[f"{c}_idx" for c in CATEGORICAL_FEATURES],
+                          handleInvalid="keep", stringOrderType="alphabetAsc")]
 
 
 def onehot_pipeline() -> Pipeline:

@@ -103,9 +103,13 @@ class Workspace:
 
     @cached_property
     def prepared(self) -> models.Prepared:
-        """Imputed train/holdout, persisted (memory, spilling to disk) because
-        fitting makes several passes; a lost block is recomputed from lineage."""
-        p = models.prepare(self.split.train, self.split.holdout)
+        """Imputed train/holdout. The split rows are persisted (memory, spilling
+        to disk) before the medians are fitted, so the median pass, the label
+        moments and every fitting pass read cached rows; a lost block is
+        recomputed from lineage."""
+        train = models.spread(self.split.train).persist(StorageLevel.MEMORY_AND_DISK)
+        holdout = self.split.holdout.persist(StorageLevel.MEMORY_AND_DISK)
+        p = models.prepare(train, holdout)
         return models.Prepared(p.train.persist(StorageLevel.MEMORY_AND_DISK),
                                p.holdout.persist(StorageLevel.MEMORY_AND_DISK), p.medians)
 
