@@ -9,20 +9,25 @@ identically on both sides (``round``); row-level values are compared unrounded.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftwise.config import EXTERNAL_COLS, LAGS, MARKDOWN_COLS, REQUIRED_MODEL_COLS
+from shiftwise.config import (EXTERNAL_COLS, LAGS, MARKDOWN_COLS, NUMERIC_FEATURES,
+                              REQUIRED_MODEL_COLS)
 from shiftwise.functions.columns import bool_to_int, slug
-from shiftwise.operators import dashboard, evaluate, mart, questions, rollups, validate
+from shiftwise.operators import dashboard, evaluate, mart, models, questions, rollups, validate
 from shiftwise.operators.prepare import join_inputs
 from shiftwise.operators.split import split_summary
 from shiftwise.operators.standards import dept_stats, volume_cutoffs
+from shiftwise.plans import sql_api
 from shiftwise.plans.oracle import with_ctes
 from shiftwise.plans.pipeline import Workspace
+from shiftwise.session import DEFAULT_FALLBACK_DIR, checkpoint_dir
+from shiftwise.sources import files, schemas
 
 
 @dataclass
@@ -329,9 +334,6 @@ register("validate_unmatched", lambda w: validate.unmatched_rows(w.mart),
                    count(*) FILTER (WHERE forecast_weekly_sales = 0) AS rows_with_zero_forecast
             FROM mart""", ops="V4")
 # --- MLlib forecasts (M4-M9, M11-M14) ----------------------------------------------
-from shiftwise.config import NUMERIC_FEATURES  # noqa: E402
-from shiftwise.operators import models  # noqa: E402
-
 register("impute_median", lambda w: models.fit_medians(w.split.train),
          "SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in NUMERIC_FEATURES)
          + " FROM train", {c: 6 for c in NUMERIC_FEATURES}, ops="M4")
@@ -342,12 +344,7 @@ register("model_metrics_ml", lambda w: w.model_metrics, None, ops="M11 M13 M14")
 register("forecast_best_ml", lambda w: w.model_best, None, ops="M12")
 # --- sources, sinks and the SQL catalog (A1, A2, A6, A7) ----------------------------
 def _csv_roundtrip(w):
-    import uuid
-
-    from shiftwise.session import checkpoint_dir
-    from shiftwise.sources import files, schemas
-
-    base = checkpoint_dir(w.spark, fallback="/tmp/shiftwise-checkpoint")
+    base = checkpoint_dir(w.spark, fallback=DEFAULT_FALLBACK_DIR)
     path = f"{base.rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
     out = w.sales.select(F.col("store").alias("Store"), F.col("dept").alias("Dept"),
                          F.col("date").alias("Date"), F.col("weekly_sales").alias("Weekly_Sales"),
@@ -361,7 +358,6 @@ register("src_csv_roundtrip", _csv_roundtrip,
 
 
 def _sql_trend(w):
-    from shiftwise.plans import sql_api
     return sql_api.sql(w, sql_api.WEEKLY_TREND_SQL)
 
 
