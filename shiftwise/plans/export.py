@@ -50,6 +50,7 @@ def export(ws: Workspace, out: str, models: str = "naive") -> dict[str, str]:
     files.write_table(rollups.store_week_summary(mart), p["mart_store_week_summary"])
     files.write_table(rollups.forecast_accuracy_summary(mart), p["mart_forecast_accuracy_summary"])
     files.write_table(rollups.top_at_risk(mart), p["mart_top_at_risk_store_depts"])
+    ws.release()
     return p
 
 

@@ -109,6 +109,7 @@ class Workspace:
         recomputed from lineage."""
         train = models.spread(self.split.train).persist(StorageLevel.MEMORY_AND_DISK)
         holdout = self.split.holdout.persist(StorageLevel.MEMORY_AND_DISK)
+        self._split_cache = (train, holdout)
         p = models.prepare(train, holdout)
         return models.Prepared(p.train.persist(StorageLevel.MEMORY_AND_DISK),
                                p.holdout.persist(StorageLevel.MEMORY_AND_DISK), p.medians)
@@ -153,6 +154,15 @@ class Workspace:
         m = mart_op.workforce_mart(self.mart_forecast, self.labor_standards, self.schedule, self.mcfg)
         return self._keep(m, "mart_workforce_dashboard")
 
+    def release(self) -> None:
+        """Drop the cached model frames of this run (if the models were used)."""
+        p = self.__dict__.get("prepared")
+        if p is not None:
+            p.train.unpersist()
+            p.holdout.unpersist()
+            for df in self._split_cache:
+                df.unpersist()
+
     def tables(self) -> dict[str, DataFrame]:
         """The nine loaded tables plus the mart, under their published names."""
         return {
