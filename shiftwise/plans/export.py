@@ -19,13 +19,16 @@ import os
 from pyspark.sql import SparkSession
 
 from shiftwise.operators import evaluate, rollups
+from shiftwise.operators.mart import workforce_mart
+from shiftwise.operators.schedule import plan_schedule
 from shiftwise.plans.pipeline import Workspace
 from shiftwise.sources import files
 
 
 def export(ws: Workspace, out: str, models: str = "naive") -> dict[str, str]:
-    """Write all outputs of ``ws``; ``models='all'`` adds the MLlib models to the
-    comparison and lets the winner drive the labor plan's forecast tables."""
+    """Write all outputs of ``ws``. The labor plan (schedule, mart, rollups) is
+    built on the forecast of the model with the lowest holdout WAPE;
+    ``models='all'`` adds the MLlib models to the candidates."""
     if models == "all":
         forecasts = ws.naive_forecasts.unionByName(ws.model_forecasts)
     else:
@@ -40,13 +43,17 @@ def export(ws: Workspace, out: str, models: str = "naive") -> dict[str, str]:
     files.write_per_model(forecasts, p["forecast_by_model"], fmt="csv")
     files.write_table(forecasts, p["forecast_all_models"])
     files.write_table(best, p["forecast_best"])
+    spark = ws.spark
+    best = spark.read.parquet(p["forecast_best"])  # later writes start from the written table
     files.write_csv(evaluate.model_comparison(metrics).coalesce(1), p["model_comparison"])
     files.write_csv(evaluate.model_comparison(metrics).coalesce(1), p["model_metrics"])
     files.write_json(evaluate.metrics_struct(metrics).coalesce(1), p["model_metrics_json"])
+    schedule = plan_schedule(best, ws.labor_standards, ws.lcfg)
+    mart = workforce_mart(best, ws.labor_standards, schedule, ws.mcfg)
     files.write_csv(ws.labor_standards, p["labor_standards"])
-    files.write_csv(ws.schedule, p["simulated_schedule"])
-    mart = ws.mart
+    files.write_csv(schedule, p["simulated_schedule"])
     files.write_table(mart, p["mart_workforce_dashboard"])
+    mart = spark.read.parquet(p["mart_workforce_dashboard"])
     files.write_table(rollups.store_week_summary(mart), p["mart_store_week_summary"])
     files.write_table(rollups.forecast_accuracy_summary(mart), p["mart_forecast_accuracy_summary"])
     files.write_table(rollups.top_at_risk(mart), p["mart_top_at_risk_store_depts"])
