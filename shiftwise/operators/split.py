@@ -24,17 +24,21 @@ class Split:
 
 
 def time_split(df: DataFrame, weeks: int = 13, date: str = "date",
-               required=REQUIRED_MODEL_COLS) -> Split:
-    start = holdout_start(df, weeks, date)
+               required=REQUIRED_MODEL_COLS, start: Column | None = None) -> Split:
+    """``start`` may be given when a smaller table has the same dates (e.g. the
+    weekly sales the feature table was built from), so the max is taken there."""
+    if start is None:
+        start = holdout_start(df, weeks, date)
     model_df = df.na.drop(how="any", subset=list(required))
     return Split(train=model_df.where(F.col(date) < start),
                  holdout=model_df.where(F.col(date) >= start),
                  start=start)
 
 
-def split_summary(df: DataFrame, weeks: int = 13, date: str = "date") -> DataFrame:
+def split_summary(df: DataFrame, weeks: int = 13, date: str = "date",
+                  start: Column | None = None) -> DataFrame:
     """One row per side: rows, first and last date, and the holdout start."""
-    s = time_split(df, weeks, date)
+    s = time_split(df, weeks, date, start=start)
     side = lambda part, name: part.agg(
         F.lit(name).alias("split"), F.count(F.lit(1)).alias("n_rows"),
         F.min(date).alias("first_date"), F.max(date).alias("last_date"))

@@ -84,9 +84,18 @@ class Workspace:
                              windows=self.fcfg.rolling_windows)
         return self._keep(ft, "feature_table")
 
+    @cached_property
+    def holdout_start(self):
+        """max(date) - 12 weeks, taken on the weekly sales: the feature table is
+        sales left-joined with unique lookups, so it has exactly the same dates,
+        and the scalar subquery then reads the small written table instead of
+        re-running the fill and window chain."""
+        return split_op.holdout_start(self.sales, self.fcfg.holdout_weeks)
+
     @cached_property
     def split(self) -> split_op.Split:
-        return split_op.time_split(self.feature_table, self.fcfg.holdout_weeks)
+        return split_op.time_split(self.feature_table, self.fcfg.holdout_weeks,
+                                   start=self.holdout_start)
 
     # forecasts ------------------------------------------------------------
     @cached_property

@@ -105,7 +105,8 @@ register("model_frame", lambda w: w.split.train.unionByName(w.split.holdout)
          .select(*KEYS, "weekly_sales", *REQUIRED_MODEL_COLS),
          f"SELECT store, dept, date, weekly_sales, {', '.join(REQUIRED_MODEL_COLS)} FROM model_df",
          ops="C5")
-register("split_summary", lambda w: split_summary(w.feature_table, w.fcfg.holdout_weeks),
+register("split_summary", lambda w: split_summary(w.feature_table, w.fcfg.holdout_weeks,
+                                                  start=w.holdout_start),
          """SELECT 'train' AS split, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date,
                    (SELECT holdout_start FROM bounds) AS holdout_start FROM train
             UNION ALL
