@@ -77,12 +77,19 @@ def materialize(df: DataFrame, name: str, fallback_dir: str | None = DEFAULT_FAL
     return spark.read.parquet(path)
 
 
+_BOUNDED: dict = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 
     Meant for dimension tables read straight from storage, where the bounded
     count is a cheap scan; beyond the bound the join stays a shuffle join and
-    AQE may still convert it from runtime statistics.
+    AQE may still convert it from runtime statistics. The answer is kept per
+    session and plan (``semanticHash``), so a dimension is counted once.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    small = _BOUNDED.get(key)
+    if small is None:
+        small = _BOUNDED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
