@@ -38,6 +38,7 @@ class Query:
     rounding: dict = field(default_factory=dict)
     ops: str = ""
     grain: str = "type"
+    round_all_except: tuple | None = None  # pivots: round every column but these
 
 
 def _round_spark(df: DataFrame, rounding: dict) -> DataFrame:
@@ -49,7 +50,7 @@ def _round_spark(df: DataFrame, rounding: dict) -> DataFrame:
 def _round_sql(sql: str, rounding: dict) -> str:
     if not rounding:
         return sql
-    repl = ", ".join(f"round({c}, {d}) AS {c}" for c, d in rounding.items())
+    repl = ", ".join(f'round("{c}", {d}) AS "{c}"' for c, d in rounding.items())
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) q"
 
 
@@ -264,6 +265,11 @@ register("labor_gap_heatmap", lambda w: dashboard.labor_gap_heatmap(w.mart),
          """SELECT store, dept, sum(labor_gap_hours) AS labor_gap_hours,
                    sum(overtime_risk_hours) AS overtime_risk_hours
             FROM mart GROUP BY store, dept""", sums("labor_gap_hours", "overtime_risk_hours"), ops="X4")
+register("labor_gap_heatmap_wide", lambda w: _edge_round_all(
+    dashboard.labor_gap_heatmap_wide(w.mart), keep=("store",)),
+         """PIVOT (SELECT store, dept, labor_gap_hours FROM mart) ON dept
+            USING sum(labor_gap_hours) GROUP BY store""", None, ops="X4 pivot")
+_REGISTRY["labor_gap_heatmap_wide"].round_all_except = ("store",)
 register("labor_plan_by_recommendation", lambda w: dashboard.labor_plan_by_recommendation(w.mart),
          """SELECT recommendation, count(*) AS row_count,
                    sum(required_labor_hours) AS required_labor_hours,
@@ -393,5 +399,21 @@ def spark_callable(q: Query) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _edge_round_all(df: DataFrame, keep=(), digits: int = 4) -> DataFrame:
+    """Round every column but ``keep`` (pivot outputs have data-dependent names)."""
+    return df.withColumns({c: F.round(c, digits) for c in df.columns if c not in keep})
+
+
+def _sql_round_all(sql: str, keep=("store",), digits: int = 4) -> str:
+    keep_list = ", ".join(f'"{k}"' for k in keep)
+    return (f"SELECT {keep_list}, round(COLUMNS(* EXCLUDE ({keep_list})), {digits}) "
+            f"FROM (\n{sql}\n) q")
+
+
 def oracle_text(q: Query) -> str | None:
-    return _round_sql(with_ctes(q.sql, q.grain), q.rounding) if q.sql else None
+    if not q.sql:
+        return None
+    text = with_ctes(q.sql, q.grain)
+    if q.round_all_except:
+        return _sql_round_all(text, q.round_all_except)
+    return _round_sql(text, q.rounding)
