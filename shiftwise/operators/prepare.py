@@ -7,16 +7,11 @@ from pyspark.sql import functions as F
 
 from shiftwise.config import EXTERNAL_COLS, MARKDOWN_COLS
 from shiftwise.functions.columns import cap_at_zero
-from shiftwise.session import bounded_broadcast
-
-# Store attributes are one row per store; above this bound the join is left
-# to the planner (shuffle join, or AQE broadcast from runtime size).
-MAX_BROADCAST_STORES = 100_000
 
 
 def join_inputs(sales: DataFrame, stores: DataFrame, features: DataFrame) -> DataFrame:
     """sales LEFT JOIN stores ON store, LEFT JOIN features ON (store, date, is_holiday)."""
-    df = sales.join(bounded_broadcast(stores, MAX_BROADCAST_STORES), "store", "left")
+    df = sales.join(stores, "store", "left")
     return df.join(features, ["store", "date", "is_holiday"], "left")
 
 

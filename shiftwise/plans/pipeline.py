@@ -25,7 +25,7 @@ from shiftwise.operators import schedule as schedule_op
 from shiftwise.operators import split as split_op
 from shiftwise.operators.features import create_features
 from shiftwise.operators.prepare import prepare_modeling_data
-from shiftwise.session import DEFAULT_FALLBACK_DIR, materialize
+from shiftwise.session import materialize
 from shiftwise.sources import fixtures
 
 MART_MODEL = forecast.SEASONAL_NAIVE
@@ -37,18 +37,16 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, fcfg: ForecastConfig = ForecastConfig(),
                  lcfg: LaborConfig = LaborConfig(), mcfg: MartConfig = MartConfig(),
                  mart_model: str = MART_MODEL, persist: bool = False,
-                 materialize_inputs: bool = True, fallback_dir: str | None = DEFAULT_FALLBACK_DIR,
-                 dept_grain: str = "type"):
+                 materialize_inputs: bool = True, dept_grain: str = "type"):
         self.spark, self.sf_dir = spark, sf_dir
         self.dept_grain = dept_grain
         self.fcfg, self.lcfg, self.mcfg = fcfg, lcfg, mcfg
         self.mart_model = mart_model
         self.persist, self.materialize_inputs = persist, materialize_inputs
-        self.fallback_dir = fallback_dir
         self.run_id = uuid.uuid4().hex
 
     def _write(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name, self.fallback_dir, self.run_id)
+        return materialize(df, name, self.run_id)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         return self._write(df, name) if self.persist else df

@@ -9,7 +9,6 @@ identically on both sides (``round``); row-level values are compared unrounded.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -26,7 +25,7 @@ from shiftwise.operators.standards import dept_stats, volume_cutoffs
 from shiftwise.plans import sql_api
 from shiftwise.plans.oracle import with_ctes
 from shiftwise.plans.pipeline import Workspace
-from shiftwise.session import DEFAULT_FALLBACK_DIR, checkpoint_dir
+from shiftwise.session import run_folder
 from shiftwise.sources import files, schemas
 
 
@@ -351,8 +350,7 @@ register("model_metrics_ml", lambda w: w.model_metrics, None, ops="M11 M13 M14")
 register("forecast_best_ml", lambda w: w.model_best, None, ops="M12")
 # --- sources, sinks and the SQL catalog (A1, A2, A6, A7) ----------------------------
 def _csv_roundtrip(w):
-    base = checkpoint_dir(w.spark, fallback=DEFAULT_FALLBACK_DIR)
-    path = f"{base.rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
+    path = f"{run_folder(w.spark, w.run_id)}/csv_roundtrip"
     out = w.sales.select(F.col("store").alias("Store"), F.col("dept").alias("Dept"),
                          F.col("date").alias("Date"), F.col("weekly_sales").alias("Weekly_Sales"),
                          F.col("is_holiday").alias("IsHoliday"))

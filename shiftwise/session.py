@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings the library relies on. AQE re-plans joins from runtime sizes
 # (broadcast only when a shuffle stage turns out small, skew-join splitting for
@@ -24,7 +23,7 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "shiftwise", extra: dict | None = None,
-                driver_memory: str | None = "16g") -> SparkSession:
+                driver_memory: str | None = "8g") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -42,54 +41,50 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True where driver and tasks share one machine (``local`` masters, not ``local-cluster``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (distributed) folder there. ``fallback`` is used
-    only when nothing is configured, e.g. in local tests.
+    A cluster must name a shared (distributed) folder there; without one this
+    raises, because a machine-local folder would lose rows. Only a ``local``
+    master, as in tests, falls back to ``fallback`` or a new temporary folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if fallback is None:
-            raise RuntimeError("spark.checkpoint.dir is not set")
-        d = fallback
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+        d = fallback or tempfile.mkdtemp(prefix="shiftwise-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-DEFAULT_FALLBACK_DIR = "/tmp/shiftwise-checkpoint"
+def run_folder(spark: SparkSession, run_id: str | None = None) -> str:
+    """A folder for one run's written tables under the checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{run_id or uuid.uuid4().hex}"
+
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a run folder through Spark's file system (any store Spark can write to)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-def materialize(df: DataFrame, name: str, fallback_dir: str | None = DEFAULT_FALLBACK_DIR,
-                run_id: str | None = None) -> DataFrame:
+
+def materialize(df: DataFrame, name: str, run_id: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
     Cuts lineage so a lost executor re-reads files instead of recomputing the
     whole upstream plan, and gives the planner real file sizes for its join
-    choices. ``fallback_dir`` is used only when the session names no folder.
+    choices.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark, fallback_dir)
-    path = os.path.join(base, "tables", run_id or uuid.uuid4().hex, name)
+    path = f"{run_folder(spark, run_id)}/{name}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-_BOUNDED: dict = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    Meant for dimension tables read straight from storage, where the bounded
-    count is a cheap scan; beyond the bound the join stays a shuffle join and
-    AQE may still convert it from runtime statistics. The answer is kept per
-    session and plan (``semanticHash``), so a dimension is counted once.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    small = _BOUNDED.get(key)
-    if small is None:
-        small = _BOUNDED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    return spark.read.schema(df.schema).parquet(path)
