@@ -25,8 +25,9 @@ def empty_if_null(c: str) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Array of the text's words."""
-    return F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
+    """Array of the text's words. Only the ends can yield empty pieces, so those are trimmed first."""
+    inner = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SPACE + "+"))
 
 
 def word_count(text: Column) -> Column:
