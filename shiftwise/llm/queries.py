@@ -6,15 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftwise.llm import mixing, quality, secret_scan, sharding
+from shiftwise.llm import (html_text, license_scan, mixing, ngram_join, packing, quality, secret_scan, sharding,
+                           vector_search)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_classifier": license_scan.query,
+        "op2_cost_balanced_packing": packing.query,
         "op3_hilbert_shards": sharding.query,
         "op4_randomness_battery": secret_scan.query,
         "op5_weak_supervision": quality.query,
         "op6_sainte_lague_mix": mixing.query,
+        "op7_layout_rendering": html_text.query,
+        "op9_collision_counting": vector_search.query,
+        "op10_prefix_filter_join": ngram_join.query,
     }
 
 

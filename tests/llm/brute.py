@@ -32,3 +32,34 @@ def base_spans(t):
 
 def joined(spans):
     return ",".join(f"{('assign', 'access', 'hex', 'random')[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def shingles(t):
+    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def join_components(rows):
+    """Union-find over all similar pairs; sorted (doc_id, n_shingles, component_id)."""
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    index = {}
+    for i, s in enumerate(sets):
+        near = Counter(j for x in s for j in index.get(x, ()))
+        for j, shared in near.items():
+            if 100 * shared >= 75 * (len(s) + len(sets[j]) - shared):
+                parent[find(i)] = find(j)
+        for x in s:
+            index.setdefault(x, []).append(i)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        k = find(i)
+        least[k] = min(least.get(k, d), d)
+    return sorted((d, len(s), least[find(i)]) for i, ((d, _), s) in enumerate(zip(rows, sets)))
