@@ -82,7 +82,7 @@ def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     return out
 
 
-def in_parts(texts: list[str | None], limit: int = 4_000_000) -> Iterator[list[bytes]]:
+def in_parts(texts: list[str | None], limit: int = 1_000_000) -> Iterator[list[bytes]]:
     """The texts as bytes, in runs of about ``limit`` bytes."""
     run, n = [], 0
     for t in texts:
@@ -144,3 +144,14 @@ def add_up(rows: DataFrame, parts: int) -> np.ndarray:
     if not got:
         return np.zeros(1 << SKETCH_BITS, np.uint32)
     return np.concatenate([np.frombuffer(zlib.decompress(bytes(x)), np.uint32) for _, x in got])
+
+
+def marked(rows: DataFrame, col: str) -> np.ndarray:
+    """Which buckets the values of a long column fall into: a filter of fixed size that never misses a value."""
+    packed = rows.select(col).mapInPandas(
+        lambda it: (pd.DataFrame({"keys": [b[col].to_numpy().astype(np.int64).tobytes()]}) for b in it), "keys binary")
+    return count_sketch(packed, "keys") > 0
+
+
+def in_marks(values: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    return marks[bucket(values.astype(np.int64).view(np.uint64))]

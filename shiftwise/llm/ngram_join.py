@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shiftwise.llm.common import WORD, table
-from shiftwise.llm.hashing import (SKETCH_BITS, SLICE, add_up, bucket, count_sketch, in_parts, mix, shingle_sets,
+from shiftwise.llm.hashing import (SKETCH_BITS, SLICE, add_up, bucket, in_marks, in_parts, marked, mix, shingle_sets,
                                    sliced)
 from shiftwise.session import materialize
 
@@ -89,9 +89,7 @@ def prefixes(texts: DataFrame, sketch, size: int, percent: int) -> DataFrame:
 
 def whole_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(cls, shingles) of the wanted classes. A sketch of their keys, of fixed size, keeps most other sets out of the shuffle."""
-    packed = wanted.select("cls").mapInPandas(
-        lambda it: (pd.DataFrame({"keys": [b["cls"].to_numpy().astype(np.int64).tobytes()]}) for b in it), "keys binary")
-    marks = texts.sparkSession.sparkContext.broadcast(count_sketch(packed, "keys") > 0)
+    marks = texts.sparkSession.sparkContext.broadcast(marked(wanted, "cls"))
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sent = set()
@@ -101,7 +99,7 @@ def whole_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 for h in shingle_sets(part, size):
                     if len(h):
                         k = class_key(h)
-                        if k not in sent and marks.value[bucket(np.array([k], np.int64).astype(np.uint64))[0]]:
+                        if k not in sent and in_marks(np.array([k]), marks.value)[0]:
                             sent.add(k)
                             out.append((k, h.tobytes()))
             yield pd.DataFrame(out, columns=["cls", "shingles"])

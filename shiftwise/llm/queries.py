@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shiftwise.llm import (html_text, license_scan, mixing, ngram_join, packing, quality, secret_scan, sharding,
-                           vector_search)
+                           suffix_dedup, vector_search)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_weak_supervision": quality.query,
         "op6_sainte_lague_mix": mixing.query,
         "op7_layout_rendering": html_text.query,
+        "op8_suffix_radix_dedup": suffix_dedup.query,
         "op9_collision_counting": vector_search.query,
         "op10_prefix_filter_join": ngram_join.query,
     }

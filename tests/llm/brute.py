@@ -63,3 +63,21 @@ def join_components(rows):
         k = find(i)
         least[k] = min(least.get(k, d), d)
     return sorted((d, len(s), least[find(i)]) for i, ((d, _), s) in enumerate(zip(rows, sets)))
+
+
+def repeats(rows, depth=200):
+    """Windows counted in a dictionary over the whole table; sorted digests."""
+    import hashlib
+
+    raws = [(d, (t or "").encode()) for d, t in rows]
+    seen = Counter(r[i:i + depth] for _, r in raws for i in range(len(r) - depth + 1))
+    out = []
+    for d, r in raws:
+        gone = bytearray(len(r))
+        for i in range(len(r) - depth + 1):
+            if seen[r[i:i + depth]] > 1:
+                gone[i:i + depth] = b"\x01" * depth
+        spans = len(re.findall(b"\x01+", bytes(gone)))
+        kept = bytes(b for b, g in zip(r, gone) if not g)
+        out.append((-1 if d is None else d, len(r), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
