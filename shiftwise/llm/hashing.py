@@ -104,23 +104,6 @@ def bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def count_sketch(hashes: DataFrame, col: str) -> np.ndarray:
-    """How many hashes (packed 64-bit integers in a binary column) fall into each of 2**SKETCH_BITS buckets.
-
-    Each task counts its rows into one array of fixed size; the arrays are
-    added up in rounds of at most FAN arrays a task. The result has 4 MB
-    whatever the corpus.
-    """
-    def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << SKETCH_BITS, np.uint32)
-        for b in it:
-            for x in b[col]:
-                total += np.bincount(bucket(np.frombuffer(x, np.uint64)), minlength=1 << SKETCH_BITS).astype(np.uint32)
-        yield sliced(total, TaskContext.get().partitionId())
-
-    return add_up(hashes.select(col).mapInPandas(count, SLICE), hashes.rdd.getNumPartitions())
-
-
 SLICE = "part long, slice int, counts binary"
 
 
@@ -129,11 +112,18 @@ def sliced(total: np.ndarray, part: int) -> pd.DataFrame:
                          "counts": [zlib.compress(x.tobytes(), 1) for x in np.split(total, SLICES)]})
 
 
-def add_up(rows: DataFrame, parts: int) -> np.ndarray:
+def add_up(rows: DataFrame, parts: int, join=np.add, kind=np.uint32) -> np.ndarray:
+    """The tasks' arrays (sent as slices) joined element by element, in rounds of at most FAN arrays a task.
+
+    The result has a fixed size whatever the corpus.
+    """
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(x), np.uint32).astype(np.uint64) for x in pdf["counts"])
-        packed = zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0]) // FAN], "slice": [int(pdf["slice"].iloc[0])], "counts": [packed]})
+        total = None
+        for x in pdf["counts"]:
+            x = np.frombuffer(zlib.decompress(x), kind)
+            total = x.copy() if total is None else join(total, x)
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0]) // FAN], "slice": [int(pdf["slice"].iloc[0])],
+                             "counts": [zlib.compress(total.tobytes(), 1)]})
 
     while True:
         rows = rows.groupBy((F.floor(F.col("part") / FAN)).alias("grp"), "slice").applyInPandas(add, SLICE)
@@ -141,17 +131,28 @@ def add_up(rows: DataFrame, parts: int) -> np.ndarray:
         if parts <= 1:
             break
     got = sorted((r["slice"], r["counts"]) for r in rows.collect())  # SLICES rows
-    if not got:
-        return np.zeros(1 << SKETCH_BITS, np.uint32)
-    return np.concatenate([np.frombuffer(zlib.decompress(bytes(x)), np.uint32) for _, x in got])
+    return np.concatenate([np.frombuffer(zlib.decompress(bytes(x)), kind) for _, x in got]) if got else np.zeros(0, kind)
+
+
+MARK_BITS = 23
+
+
+def mark_bucket(values: np.ndarray) -> np.ndarray:
+    return (mix(values.astype(np.int64).view(np.uint64)) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
 
 
 def marked(rows: DataFrame, col: str) -> np.ndarray:
-    """Which buckets the values of a long column fall into: a filter of fixed size that never misses a value."""
-    packed = rows.select(col).mapInPandas(
-        lambda it: (pd.DataFrame({"keys": [b[col].to_numpy().astype(np.int64).tobytes()]}) for b in it), "keys binary")
-    return count_sketch(packed, "keys") > 0
+    """A filter of fixed size (1 MB) over the values of a long column; it never misses a value."""
+    def mark(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros(1 << MARK_BITS, bool)
+        for b in it:
+            seen[mark_bucket(b[col].to_numpy())] = True
+        yield sliced(np.packbits(seen), TaskContext.get().partitionId())
+
+    bits = add_up(rows.select(col).mapInPandas(mark, SLICE), rows.rdd.getNumPartitions(), np.bitwise_or, np.uint8)
+    return bits if len(bits) else np.zeros((1 << MARK_BITS) // 8, np.uint8)
 
 
 def in_marks(values: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    return marks[bucket(values.astype(np.int64).view(np.uint64))]
+    at = mark_bucket(values)
+    return (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)

@@ -66,7 +66,8 @@ def shingle_sketch(texts: DataFrame, size: int) -> np.ndarray:
                 total += np.bincount(bucket(h), minlength=1 << SKETCH_BITS).astype(np.uint32)
         yield sliced(total, TaskContext.get().partitionId())
 
-    return add_up(texts.select("text").mapInPandas(count, SLICE), texts.rdd.getNumPartitions())
+    counts = add_up(texts.select("text").mapInPandas(count, SLICE), texts.rdd.getNumPartitions())
+    return counts if len(counts) else np.zeros(1 << SKETCH_BITS, np.uint32)
 
 
 def prefixes(texts: DataFrame, sketch, size: int, percent: int) -> DataFrame:

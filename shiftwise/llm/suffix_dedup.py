@@ -11,15 +11,18 @@ from coarse to fine digits, and a suffix alone in its group leaves:
 2. Whole runs. Runs that are equal over all their bytes are repeated suffix by
    suffix; a run whose digit no other run has is over.
 3. Last digit. The remaining runs share a digit but differ somewhere: where
-   copies begin, end or were edited. They are spread into single suffixes,
+   copies begin, end or were edited. One place stands for each different run;
+   its bytes (at most 300) are sorted by digit, and its single suffixes are
    grouped by the hash of all 200 bytes. Equal groups are exactly the repeated
    windows.
 
-All grouping is by (digit hash, content hash), 128 bits. Counting pre-
-aggregates before its shuffle, so a passage that a third of all documents share
-is a few rows a task; the joins that bring the verdicts back can be split by
-key. Texts travel at most twice, and only those that a filter of fixed size
-does not rule out. Equal texts share one key (64-bit hash of the text).
+All grouping is by (digit hash, content hash), 128 bits. Digits with very many
+different runs, such as the edge of a passage that a third of all documents
+share, do not meet in one task: their suffixes are rows of their own, counted
+with partial aggregation, and the joins that bring verdicts back can be split
+by key. Equal texts share one key (64-bit hash of the text) and are sent at
+most twice by a task. Texts are shuffled twice, and runs once, and only those
+that a filter of fixed size does not rule out.
 
 Null text is empty; texts under 200 bytes only lose nothing; repeated rows are
 copies of each other, so both lose what they share; an empty table gives no
@@ -42,6 +45,7 @@ from shiftwise.session import materialize
 
 DEPTH = 200
 PIECE = 1_000_000  # bytes hashed at a time
+MANY = 1000  # different runs of one digit that one task compares; more become rows
 _INDEX = np.uint64((1 << 24) - 1)
 
 
@@ -105,12 +109,37 @@ def pieces(texts: list[str], keys: list, depth: int) -> Iterator[tuple]:
         yield b"".join(run), np.array(ends), np.array(firsts), np.array(ids)
 
 
-def all_runs(texts: DataFrame, depth: int) -> DataFrame:
-    """(h, ctx, key, lo, n) of every run of every text."""
+def sent_again(keys: pd.Series, sent: dict, most: int) -> np.ndarray:
+    """Which rows are not yet the ``most + 1``-th of their key in this task."""
+    out = np.ones(len(keys), bool)
+    for i, k in enumerate(keys.tolist()):
+        sent[k] = sent.get(k, 0) + 1
+        out[i] = sent[k] <= most
+    return out
+
+
+def counted_runs(texts: DataFrame, depth: int) -> DataFrame:
+    """(h, ctx, c): contents of runs, counted inside each piece. A text's third copy in a task adds nothing new."""
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sent: dict = {}
+        for b in it:
+            b = b[sent_again(b["key"], sent, 2)]
+            for raw, ends, _, _ in pieces(b["text"].tolist(), b["key"].tolist(), depth):
+                r = runs_of(np.frombuffer(raw, np.uint8), ends, depth)
+                yield r.groupby(["h", "ctx"], as_index=False, sort=False).size().rename(columns={"size": "c"})
+
+    return texts.select("key", "text").mapInPandas(batches, "h long, ctx long, c long")
+
+
+def marked_runs(texts: DataFrame, marks, depth: int) -> DataFrame:
+    """(h, ctx, key, lo, n) of the runs whose digit the broadcast filter does not rule out, once per text and task."""
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sent: dict = {}
         for b in it:
+            b = b[sent_again(b["key"], sent, 1)]
             for raw, ends, firsts, ids in pieces(b["text"].tolist(), b["key"].tolist(), depth):
                 r = runs_of(np.frombuffer(raw, np.uint8), ends, depth)
+                r = r[in_marks(r["h"].to_numpy(), marks.value)]
                 t = r["text"].to_numpy()
                 begin = np.concatenate(([0], ends[:-1]))
                 yield pd.DataFrame({"h": r["h"], "ctx": r["ctx"], "key": ids[t],
@@ -129,44 +158,105 @@ def maybe_in(marks):
     return maybe
 
 
-def suffixes(texts: DataFrame, open_runs: DataFrame, depth: int) -> DataFrame:
-    """(h, w, key, at) of every suffix in ``open_runs`` (key, h, lo, n); w hashes its whole ``depth`` bytes."""
-    spans = open_runs.groupBy("key").agg(F.collect_list(F.struct("h", "lo", "n")).alias("runs"))
-    marks = texts.sparkSession.sparkContext.broadcast(marked(open_runs.select("key").distinct(), "key"))
+def contexts(texts: DataFrame, open_runs: DataFrame, depth: int) -> DataFrame:
+    """``open_runs`` (key, h, lo, n, kinds) with the bytes they cover."""
+    spans = open_runs.groupBy("key").agg(F.collect_list(F.struct("h", "lo", "n", "kinds")).alias("runs"))
+    marks = texts.sparkSession.sparkContext.broadcast(marked(open_runs, "key"))
     one = texts.select("key", "text").where(maybe_in(marks)("key")).dropDuplicates(["key"])
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in it:
+            out = []
             for key, text, runs in zip(b["key"], b["text"], b["runs"]):
                 raw = text.encode()
-                out = []
-                for r in runs:
-                    lo, n = int(r["lo"]), int(r["n"])
-                    a = np.frombuffer(raw[lo:lo + n - 1 + depth], np.uint8)
-                    sums = prefix_sums(a)
-                    _, down = powers(len(a) + 1)
-                    w = mix((sums[depth:] - sums[:-depth]) * down[:n])
-                    out.append(pd.DataFrame({"h": int(r["h"]), "w": w.astype(np.int64), "key": key,
-                                             "at": np.arange(lo, lo + n)}))
-                yield pd.concat(out)
+                out += [(r["h"], r["kinds"], key, r["lo"], r["n"], raw[r["lo"]:r["lo"] + r["n"] - 1 + depth]) for r in runs]
+            yield pd.DataFrame(out, columns=["h", "kinds", "key", "lo", "n", "raw"])
+
+    return one.join(spans, "key").mapInPandas(batches, CONTEXT)
+
+
+CONTEXT = "h long, kinds long, key long, lo long, n int, raw binary"
+
+
+def suffix_hashes(raws: list[bytes], n: np.ndarray, depth: int) -> np.ndarray:
+    """Hashes of the first ``n`` whole windows of every byte string, one after the other."""
+    a = np.frombuffer(b"".join(raws), np.uint8)
+    sums = prefix_sums(a)
+    _, down = powers(len(a) + 1)
+    begin = np.concatenate(([0], np.cumsum([len(r) for r in raws])[:-1]))
+    at = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return mix((sums[at + depth] - sums[at]) * down[at])
+
+
+def repeated_in(df: pd.DataFrame, depth: int) -> pd.DataFrame:
+    """Spans (key, lo, hi) of the suffixes that occur twice or more among runs of the same digit, neighbours merged."""
+    if not len(df):
+        return pd.DataFrame({"key": [], "lo": [], "hi": []}).astype("int64")
+    n = df["n"].to_numpy().astype(np.int64)
+    w = suffix_hashes(df["raw"].tolist(), n, depth)
+    h, row = np.repeat(df["h"].to_numpy(), n), np.repeat(np.arange(len(df)), n)
+    order = np.lexsort((w, h))
+    same = (h[order][1:] == h[order][:-1]) & (w[order][1:] == w[order][:-1])
+    twice = np.zeros(len(w), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    at = np.flatnonzero(twice)
+    place = df["lo"].to_numpy()[row[at]] + at - (np.cumsum(n) - n)[row[at]]
+    new = np.ones(len(at), bool)
+    new[1:] = (row[at][1:] != row[at][:-1]) | (place[1:] != place[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at)) - 1
+    if not len(at):
+        first = last = np.zeros(0, int)
+    return pd.DataFrame({"key": df["key"].to_numpy()[row[at][first]], "lo": place[first], "hi": place[last] + depth})
+
+
+def spans_by_digit(open_runs: DataFrame, depth: int) -> DataFrame:
+    """Runs sorted by digit; whole digits are handled together, batch after batch."""
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left = None
+        for b in it:
+            if not len(b):
+                continue
+            b = b if left is None else pd.concat([left, b], ignore_index=True)
+            last = b["h"].to_numpy() == b["h"].iloc[-1]
+            left = b[last]
+            yield repeated_in(b[~last].reset_index(drop=True), depth)
+        if left is not None:
+            yield repeated_in(left.reset_index(drop=True), depth)
+
+    return open_runs.repartition("h").sortWithinPartitions("h").mapInPandas(batches, "key long, lo long, hi long")
+
+
+def spans_by_suffix(open_runs: DataFrame, depth: int) -> DataFrame:
+    """The same for digits with many runs: every suffix is a row, counted with partial aggregation."""
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in it:
+            for at in range(0, len(b), 1000):
+                p = b.iloc[at:at + 1000]
+                n = p["n"].to_numpy().astype(np.int64)
+                lo = np.repeat(p["lo"].to_numpy(), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                yield pd.DataFrame({"h": np.repeat(p["h"].to_numpy(), n), "w": suffix_hashes(
+                    p["raw"].tolist(), n, depth).astype(np.int64), "key": np.repeat(p["key"].to_numpy(), n), "lo": lo})
 
-    return one.join(spans, "key").mapInPandas(batches, "h long, w long, key long, at long")
+    rows = open_runs.mapInPandas(batches, "h long, w long, key long, lo long")
+    same = rows.groupBy("h", "w").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h", "w")
+    return rows.join(same, ["h", "w"]).select("key", "lo", (F.col("lo") + depth).alias("hi"))
 
 
 def repeated_spans(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(key, lo, hi): bytes lo to hi of the texts of that key are covered by repeated suffixes; spans may overlap."""
-    runs = all_runs(texts, depth)
-    # pass 1 and 2: equal runs are counted before the shuffle; one place stands for each content
-    contents = runs.groupBy("h", "ctx").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "lo", "n")).alias("one"))
+    contents = (counted_runs(texts, depth).repartition("h").groupBy("h", "ctx").agg(F.sum("c").alias("copies")))
     digits = contents.groupBy("h").agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("kinds")).where("total > 1")
-    alive = materialize(contents.join(digits, "h").select("h", "ctx", "copies", "kinds", "one.*"), "dedup_alive")
-    whole = alive.where("copies > 1").select("h", "ctx")
-    told = runs.join(whole, ["h", "ctx"]).select("key", "lo", (F.col("lo") + F.col("n") - 1 + depth).alias("hi"))
-    # pass 3: contents that share their digit with others, one place each
-    spread = materialize(suffixes(texts, alive.where("kinds > 1").select("key", "h", "lo", "n"), depth), "dedup_suffixes")
-    same = spread.groupBy("h", "w").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h", "w")
-    found = spread.join(same, ["h", "w"]).select("key", F.col("at").alias("lo"), (F.col("at") + depth).alias("hi"))
-    return told.union(found)
+    alive = materialize(contents.join(digits, "h").select("h", "ctx", "copies", "kinds"), "dedup_alive")
+    marks = texts.sparkSession.sparkContext.broadcast(marked(alive, "h"))
+    hit = materialize(marked_runs(texts, marks, depth).join(alive, ["h", "ctx"]), "dedup_runs")
+    told = hit.where("copies > 1").select("key", "lo", (F.col("lo") + F.col("n") - 1 + depth).alias("hi"))
+    one = (hit.where("kinds > 1").groupBy("h", "ctx").agg(F.min(F.struct("key", "lo", "n", "kinds")).alias("one"))
+           .select("h", "one.*"))
+    found = materialize(contexts(texts, materialize(one, "dedup_open"), depth), "dedup_contexts")
+    return (told.union(spans_by_digit(found.where(F.col("kinds") <= MANY), depth))
+            .union(spans_by_suffix(found.where(F.col("kinds") > MANY), depth)))
 
 
 def remaining(raw: bytes, spans) -> tuple[int, int, bytes]:

@@ -39,6 +39,15 @@ def test_matches_brute_force(docs):
         assert result(docs(rows)) == brute.repeats(rows)
 
 
+def test_many_runs_of_a_digit(docs, monkeypatch):
+    """The row-wise way gives the same as the batch-wise way."""
+    rng = random.Random(3)
+    rows = list(enumerate(corpus(rng)))
+    want = brute.repeats(rows)
+    monkeypatch.setattr(suffix_dedup, "MANY", 0)
+    assert result(docs(rows)) == want
+
+
 def test_cut_texts(docs, monkeypatch):
     """Texts longer than a piece, cut with an overlap (run in this process, so the small piece holds)."""
     rng = random.Random(5)
