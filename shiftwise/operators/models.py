@@ -31,20 +31,13 @@ RIDGE = "Ridge Regression"
 GBT = "Gradient Boosted Trees"
 
 
-def fit_medians(train: DataFrame, cols=NUMERIC_FEATURES, exact: bool = True,
-                accuracy: int = 100_000) -> DataFrame:
+def fit_medians(train: DataFrame, cols=NUMERIC_FEATURES) -> DataFrame:
     """One row of per-column medians over the training rows.
 
-    ``exact`` uses the interpolated percentile (partial aggregation keeps a
-    value->count map per column; the weekly fact is bounded by stores x depts
-    x weeks). ``exact=False`` switches to ``percentile_approx`` for very large
-    training sets.
+    The interpolated percentile: partial aggregation keeps a value -> count map
+    per column.
     """
-    if exact:
-        aggs = [F.median(F.col(c).cast("double")).alias(c) for c in cols]
-    else:
-        aggs = [F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]
-    return train.agg(*aggs)
+    return train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols])
 
 
 def impute(df: DataFrame, medians: dict, cols=NUMERIC_FEATURES) -> DataFrame:
@@ -63,17 +56,14 @@ class Prepared:
     medians: dict
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give the iterative fits at least one partition per core: a small weekly
-    table read back from one file would otherwise train in a single task.
-    Large inputs already have more partitions and pass through unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows in a fixed number of hash partitions by series, sorted inside each, so
+    that row subsampling, and with it the forecast, is the same on any cluster."""
+    return df.repartition(partitions, "store", "dept").sortWithinPartitions("store", "dept", "date")
 
 
 def prepare(train: DataFrame, holdout: DataFrame, cols=NUMERIC_FEATURES) -> Prepared:
     """Impute both sides with medians fitted on train (model parameters)."""
-    train = spread(train)
     # a column with no value at all imputes to 0.0 instead of failing assembly
     medians = {c: (0.0 if v is None else v) for c, v in fit_medians(train, cols).first().asDict().items()}
     cats = {c: F.col(c).cast("string") for c in CATEGORICAL_FEATURES}
@@ -107,8 +97,9 @@ def ridge_pipeline(train: DataFrame, cfg: ForecastConfig = ForecastConfig(),
                    label: str = "weekly_sales") -> Pipeline:
     """sklearn-style ridge: min ||y - Xw - b||^2 + alpha ||w||^2.
 
-    Solved by MLlib's normal-equation path (one distributed pass builds the
-    Gram matrix, the small solve runs on the driver). That path minimizes
+    Up to 4,096 features MLlib solves the normal equations (one distributed pass
+    builds the Gram matrix, the small solve runs on the driver), beyond that it
+    runs l-bfgs over the rows. Both minimize
     1/(2n)||.||^2 + regParam/2 ||w||^2 with the penalty divided by the label's
     population standard deviation, so regParam = alpha * std_pop(y) / n gives
     the closed-form ridge solution.
@@ -121,28 +112,30 @@ def ridge_pipeline(train: DataFrame, cfg: ForecastConfig = ForecastConfig(),
                           outputCol="features")
     lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction",
                           regParam=reg, elasticNetParam=0.0, standardization=False,
-                          fitIntercept=True, solver="normal")
+                          fitIntercept=True, solver="auto", maxIter=1000, tol=1e-10)
     return Pipeline(stages=[*_indexers(), enc, asm, lr])
 
 
-def gbt_pipeline(cfg: ForecastConfig = ForecastConfig(), label: str = "weekly_sales") -> Pipeline:
+def gbt_pipeline(train: DataFrame, cfg: ForecastConfig = ForecastConfig(), label: str = "weekly_sales") -> Pipeline:
+    """Trees split a category only if it has a bin of its own: as many bins as the
+    largest category count, its unseen slot included, and ``gbt_max_bins`` at least."""
+    counts = train.agg(*[F.count_distinct(f"{c}_cat").alias(c) for c in CATEGORICAL_FEATURES]).first()
+    bins = max([cfg.gbt_max_bins, *(n + 2 for n in counts)])
     asm = VectorAssembler(inputCols=[*IMPUTED, *[f"{c}_idx" for c in CATEGORICAL_FEATURES]],
                           outputCol="features")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                        maxIter=cfg.gbt_rounds, stepSize=cfg.gbt_step, maxDepth=cfg.gbt_depth,
                        minInstancesPerNode=cfg.gbt_min_instances,
                        subsamplingRate=cfg.gbt_subsample,
-                       featureSubsetStrategy=cfg.gbt_feature_subset, maxBins=cfg.gbt_max_bins,
+                       featureSubsetStrategy=cfg.gbt_feature_subset, maxBins=bins,
                        seed=cfg.seed, lossType="squared")
     return Pipeline(stages=[*_indexers(), asm, gbt])
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit with the training rows persisted (memory, spilling to disk) for the
-    iterative passes, released afterwards."""
-    if train.storageLevel.useMemory or train.storageLevel.useDisk:
-        return pipeline.fit(train)  # the caller owns the cache
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+def fit(pipeline: Pipeline, train: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> PipelineModel:
+    """Fit with the training rows in their fixed partitions, persisted (memory,
+    spilling to disk) for the iterative passes and released afterwards."""
+    cached = spread(train, cfg.fit_partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(cached)
     finally:
@@ -154,8 +147,8 @@ def forecast_with(model: PipelineModel, holdout: DataFrame, model_name: str) ->
 
 
 def ridge_forecast(p: Prepared, cfg: ForecastConfig = ForecastConfig()) -> DataFrame:
-    return forecast_with(fit(ridge_pipeline(p.train, cfg), p.train), p.holdout, RIDGE)
+    return forecast_with(fit(ridge_pipeline(p.train, cfg), p.train, cfg), p.holdout, RIDGE)
 
 
 def gbt_forecast(p: Prepared, cfg: ForecastConfig = ForecastConfig()) -> DataFrame:
-    return forecast_with(fit(gbt_pipeline(cfg), p.train), p.holdout, GBT)
+    return forecast_with(fit(gbt_pipeline(p.train, cfg), p.train, cfg), p.holdout, GBT)

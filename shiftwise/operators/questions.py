@@ -11,14 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftwise.functions.columns import safe_div
-from shiftwise.operators.evaluate import model_comparison
 from shiftwise.operators.rollups import AT_RISK_COLUMNS
 
 
-def model_comparison_question(metrics: DataFrame) -> DataFrame:
-    return model_comparison(metrics)
-
-
 def top_overtime_stores(mart: DataFrame, k: int = 10) -> DataFrame:
     return (mart.groupBy("store", "store_type")
             .agg(F.sum("overtime_risk_hours").alias("total_overtime_risk_hours"),
@@ -46,8 +41,10 @@ def dept_accuracy(forecast: DataFrame, k: int = 15, actual: str = "actual_weekly
             .limit(k))
 
 
+WEEKLY_SUMS = ("required_labor_hours", "available_labor_hours", "labor_gap_hours",
+               "overtime_risk_hours", "estimated_overtime_cost")
+
+
 def weekly_trend(mart: DataFrame) -> DataFrame:
-    sums = ("required_labor_hours", "available_labor_hours", "labor_gap_hours",
-            "overtime_risk_hours", "estimated_overtime_cost")
-    return (mart.groupBy("week_date").agg(*[F.sum(c).alias(c) for c in sums])
+    return (mart.groupBy("week_date").agg(*[F.sum(c).alias(c) for c in WEEKLY_SUMS])
             .orderBy("week_date"))

@@ -14,12 +14,14 @@ AT_RISK_COLUMNS = (
 )
 
 
+STORE_WEEK_SUMS = ("actual_weekly_sales", "forecast_weekly_sales", "required_labor_hours",
+                   "scheduled_labor_hours", "available_labor_hours", "labor_gap_hours",
+                   "overtime_risk_hours", "estimated_overtime_cost")
+
+
 def store_week_summary(mart: DataFrame) -> DataFrame:
-    sums = ("actual_weekly_sales", "forecast_weekly_sales", "required_labor_hours",
-            "scheduled_labor_hours", "available_labor_hours", "labor_gap_hours",
-            "overtime_risk_hours", "estimated_overtime_cost")
     return mart.groupBy("week_date", "store", "store_type").agg(
-        *[F.sum(c).alias(c) for c in sums],
+        *[F.sum(c).alias(c) for c in STORE_WEEK_SUMS],
         F.avg("coverage_pct").alias("avg_coverage_pct"),
         F.avg("site_readiness_score").alias("avg_site_readiness_score"),
         F.sum(F.when(F.col("overtime_risk_flag") == "At Risk", F.lit(1)).otherwise(F.lit(0)))

@@ -17,7 +17,8 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def sample_rows(mart: DataFrame, n: int = 20) -> DataFrame:
-    return mart.limit(n)
+    """The first rows by key, so that reruns agree."""
+    return mart.orderBy("store", "dept", "week_date").limit(n)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -14,7 +14,6 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,18 +24,16 @@ from shiftwise.operators import schedule as schedule_op
 from shiftwise.operators import split as split_op
 from shiftwise.operators.features import create_features
 from shiftwise.operators.prepare import prepare_modeling_data
-from shiftwise.session import materialize
+from shiftwise.session import materialize, remove_folder, run_folder
 from shiftwise.sources import fixtures
 
-MART_MODEL = forecast.SEASONAL_NAIVE
-
 
 class Workspace:
     """All stages for one input folder, declared lazily and once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, fcfg: ForecastConfig = ForecastConfig(),
                  lcfg: LaborConfig = LaborConfig(), mcfg: MartConfig = MartConfig(),
-                 mart_model: str = MART_MODEL, persist: bool = False,
+                 mart_model: str | None = None, persist: bool = False,
                  materialize_inputs: bool = True, dept_grain: str = "type"):
         self.spark, self.sf_dir = spark, sf_dir
         self.dept_grain = dept_grain
@@ -110,16 +107,11 @@ class Workspace:
 
     @cached_property
     def prepared(self) -> models.Prepared:
-        """Imputed train/holdout. The split rows are persisted (memory, spilling
-        to disk) before the medians are fitted, so the median pass, the label
-        moments and every fitting pass read cached rows; a lost block is
-        recomputed from lineage."""
-        train = models.spread(self.split.train).persist(StorageLevel.MEMORY_AND_DISK)
-        holdout = self.split.holdout.persist(StorageLevel.MEMORY_AND_DISK)
-        self._split_cache = (train, holdout)
+        """Imputed train and holdout rows, written so that the median pass, the
+        label moments and every fitting pass read files, and nothing stays cached."""
+        train, holdout = self._write(self.split.train, "train"), self._write(self.split.holdout, "holdout")
         p = models.prepare(train, holdout)
-        return models.Prepared(p.train.persist(StorageLevel.MEMORY_AND_DISK),
-                               p.holdout.persist(StorageLevel.MEMORY_AND_DISK), p.medians)
+        return models.Prepared(self._write(p.train, "train_imputed"), self._write(p.holdout, "holdout_imputed"), p.medians)
 
     @cached_property
     def ridge_forecasts(self) -> DataFrame:
@@ -144,8 +136,12 @@ class Workspace:
 
     @cached_property
     def mart_forecast(self) -> DataFrame:
-        """The forecast the labor plan is built on (one model's rows)."""
-        return self.naive_forecasts.where(F.col("model_name") == self.mart_model)
+        """The forecast the labor plan is built on: the model with the lowest
+        holdout WAPE, or the one named by ``mart_model``. Written once, since the
+        schedule, the mart and the rollups all read it."""
+        if self.mart_model is None:
+            return self._stage(self.naive_best, "mart_forecast")
+        return self._stage(self.naive_forecasts.where(F.col("model_name") == self.mart_model), "mart_forecast")
 
     # labor ----------------------------------------------------------------
     @cached_property
@@ -162,13 +158,8 @@ class Workspace:
         return self._keep(m, "mart_workforce_dashboard")
 
     def release(self) -> None:
-        """Drop the cached model frames of this run (if the models were used)."""
-        p = self.__dict__.get("prepared")
-        if p is not None:
-            p.train.unpersist()
-            p.holdout.unpersist()
-            for df in self._split_cache:
-                df.unpersist()
+        """Delete the tables this run has written. Frames that read them end here."""
+        remove_folder(self.spark, run_folder(self.spark, self.run_id))
 
     def tables(self) -> dict[str, DataFrame]:
         """The nine loaded tables plus the mart, under their published names."""

@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftwise.config import (EXTERNAL_COLS, LAGS, MARKDOWN_COLS, NUMERIC_FEATURES,
+from shiftwise.config import (EXTERNAL_COLS, ForecastConfig, LAGS, MARKDOWN_COLS, NUMERIC_FEATURES,
                               REQUIRED_MODEL_COLS)
 from shiftwise.functions.columns import bool_to_int, slug
 from shiftwise.operators import dashboard, evaluate, mart, models, questions, rollups, validate
@@ -27,6 +27,11 @@ from shiftwise.plans.oracle import with_ctes
 from shiftwise.plans.pipeline import Workspace
 from shiftwise.session import run_folder
 from shiftwise.sources import files, schemas
+from shiftwise.sources.fixtures import DEPT_BY_TYPE
+
+
+#: Boosting in the registered queries: 60 rounds at 0.1; the library's default is the full 2,000 at 0.01.
+REGISTERED = ForecastConfig(gbt_rounds=60, gbt_step=0.1)
 
 
 @dataclass
@@ -37,13 +42,12 @@ class Query:
     rounding: dict = field(default_factory=dict)
     ops: str = ""
     grain: str = "type"
-    round_all_except: tuple | None = None  # pivots: round every column but these
 
 
 def _round_spark(df: DataFrame, rounding: dict) -> DataFrame:
     if not rounding:
         return df
-    return df.withColumns({c: F.round(c, d) for c, d in rounding.items()})
+    return df.withColumns({c: F.round(f"`{c}`", d) for c, d in rounding.items()})
 
 
 def _round_sql(sql: str, rounding: dict) -> str:
@@ -61,14 +65,32 @@ def register(name, plan, select=None, rounding=None, ops="", grain="type"):
     _REGISTRY[name] = Query(name, plan, select, rounding or {}, ops, grain)
 
 
+#: Sums of weekly sales and of 4-week means have up to 6 decimals; 4 would fall on ties.
+_SALES = {"actual_weekly_sales", "forecast_weekly_sales", "forecast_error", "abs_forecast_error"}
+
+
 def sums(*cols, digits=4):
-    return {c: digits for c in cols}
+    return {c: 6 if c in _SALES else digits for c in cols}
 
 
 def ratios(*cols, digits=9):
     return {c: digits for c in cols}
 
 
+def grouped(keys: tuple, terms: dict, tail: str = "") -> str:
+    """SELECT keys, terms FROM mart GROUP BY keys."""
+    named = ", ".join([*keys, *(f"{expr} AS {name}" for name, expr in terms.items())])
+    return f"SELECT {named} FROM mart GROUP BY {', '.join(keys)} {tail}"
+
+
+def summed(*cols: str) -> dict:
+    return {c: f"sum({c})" for c in cols}
+
+
+def shared(x: str, y: str) -> str:
+    return f"sum({x}) / NULLIF(sum({y}), 0)"
+
+
 KEYS = ("store", "dept", "date")
 _lag_cols = [f"lag_{n}" for n in LAGS]
 
@@ -125,7 +147,7 @@ register("forecast_errors", lambda w: w.naive_forecasts.select(
 _metric_round = {"mae": 6, "wape": 9}
 register("model_metrics_naive", lambda w: w.naive_metrics, "SELECT * FROM metrics", _metric_round,
          ops="M11 G4 G5")
-register("bq_model_comparison", lambda w: questions.model_comparison_question(w.naive_metrics),
+register("bq_model_comparison", lambda w: evaluate.model_comparison(w.naive_metrics),
          "SELECT * FROM metrics ORDER BY wape", _metric_round, ops="K4 M13 B7")
 register("best_model", lambda w: evaluate.best_model(w.naive_metrics),
          "SELECT best_model FROM best", ops="T2 M12")
@@ -170,46 +192,30 @@ _sw = sums("actual_weekly_sales", "forecast_weekly_sales", "required_labor_hours
            "overtime_risk_hours", "estimated_overtime_cost")
 _sw.update(ratios("avg_coverage_pct", "avg_site_readiness_score"))
 register("mart_store_week", lambda w: rollups.store_week_summary(w.mart),
-         """SELECT week_date, store, store_type,
-                   sum(actual_weekly_sales) AS actual_weekly_sales,
-                   sum(forecast_weekly_sales) AS forecast_weekly_sales,
-                   sum(required_labor_hours) AS required_labor_hours,
-                   sum(scheduled_labor_hours) AS scheduled_labor_hours,
-                   sum(available_labor_hours) AS available_labor_hours,
-                   sum(labor_gap_hours) AS labor_gap_hours,
-                   sum(overtime_risk_hours) AS overtime_risk_hours,
-                   sum(estimated_overtime_cost) AS estimated_overtime_cost,
-                   avg(coverage_pct) AS avg_coverage_pct,
-                   avg(site_readiness_score) AS avg_site_readiness_score,
-                   CAST(sum(CASE WHEN overtime_risk_flag = 'At Risk' THEN 1 ELSE 0 END) AS BIGINT)
-                     AS at_risk_dept_count
-            FROM mart GROUP BY week_date, store, store_type""", _sw, ops="K1 G7 G8 G9 G11")
+         grouped(("week_date", "store", "store_type"), {
+             **summed(*rollups.STORE_WEEK_SUMS), "avg_coverage_pct": "avg(coverage_pct)",
+             "avg_site_readiness_score": "avg(site_readiness_score)",
+             "at_risk_dept_count": "count(*) FILTER (WHERE overtime_risk_flag = 'At Risk')"}),
+         _sw, ops="K1 G7 G8 G9 G11")
 _acc = sums("actual_weekly_sales", "forecast_weekly_sales", "abs_forecast_error")
 _acc.update(ratios("wape", "forecast_bias_pct"))
 register("mart_accuracy_summary", lambda w: rollups.forecast_accuracy_summary(w.mart),
-         """SELECT store, dept, store_type,
-                   sum(actual_weekly_sales) AS actual_weekly_sales,
-                   sum(forecast_weekly_sales) AS forecast_weekly_sales,
-                   sum(abs_forecast_error) AS abs_forecast_error,
-                   sum(abs_forecast_error) / NULLIF(sum(actual_weekly_sales), 0) AS wape,
-                   sum(forecast_error) / NULLIF(sum(actual_weekly_sales), 0) AS forecast_bias_pct
-            FROM mart GROUP BY store, dept, store_type""", _acc, ops="K2 G5 G6")
-_AT_RISK_SQL = """SELECT week_date, store, dept, store_type, forecast_weekly_sales,
-                   required_labor_hours, available_labor_hours, labor_gap_hours,
-                   overtime_risk_hours, estimated_overtime_cost, site_readiness_score, recommendation
-            FROM mart WHERE overtime_risk_hours > 0"""
+         grouped(("store", "dept", "store_type"), {
+             **summed("actual_weekly_sales", "forecast_weekly_sales", "abs_forecast_error"),
+             "wape": shared("abs_forecast_error", "actual_weekly_sales"),
+             "forecast_bias_pct": shared("forecast_error", "actual_weekly_sales")}), _acc, ops="K2 G5 G6")
+_AT_RISK_SQL = f"SELECT {', '.join(rollups.AT_RISK_COLUMNS)} FROM mart WHERE overtime_risk_hours > 0"
 register("mart_top_at_risk", lambda w: rollups.top_at_risk(w.mart),
          _AT_RISK_SQL + " ORDER BY estimated_overtime_cost DESC, store, dept, week_date",
          ops="K3 C6 T5")
 _ot = sums("total_overtime_risk_hours", "total_estimated_overtime_cost")
 _ot.update(ratios("avg_site_readiness_score"))
 register("bq_top_overtime_stores", lambda w: questions.top_overtime_stores(w.mart),
-         """SELECT store, store_type,
-                   sum(overtime_risk_hours) AS total_overtime_risk_hours,
-                   sum(estimated_overtime_cost) AS total_estimated_overtime_cost,
-                   avg(site_readiness_score) AS avg_site_readiness_score
-            FROM mart GROUP BY store, store_type
-            ORDER BY total_estimated_overtime_cost DESC NULLS LAST, store, store_type LIMIT 10""",
+         grouped(("store", "store_type"), {
+             "total_overtime_risk_hours": "sum(overtime_risk_hours)",
+             "total_estimated_overtime_cost": "sum(estimated_overtime_cost)",
+             "avg_site_readiness_score": "avg(site_readiness_score)"},
+             "ORDER BY total_estimated_overtime_cost DESC NULLS LAST, store, store_type LIMIT 10"),
          _ot, ops="K5 T3")
 register("bq_top_at_risk_weeks", lambda w: questions.top_at_risk_weeks(w.mart),
          _AT_RISK_SQL + " ORDER BY estimated_overtime_cost DESC NULLS LAST, store, dept, week_date LIMIT 20",
@@ -217,20 +223,14 @@ register("bq_top_at_risk_weeks", lambda w: questions.top_at_risk_weeks(w.mart),
 _da = sums("actual_weekly_sales", "forecast_weekly_sales", "abs_forecast_error")
 _da.update(ratios("wape"))
 register("bq_dept_accuracy", lambda w: questions.dept_accuracy(w.mart_forecast),
-         """SELECT dept, sum(actual_weekly_sales) AS actual_weekly_sales,
-                   sum(forecast_weekly_sales) AS forecast_weekly_sales,
-                   sum(abs_forecast_error) AS abs_forecast_error,
-                   sum(abs_forecast_error) / NULLIF(sum(actual_weekly_sales), 0) AS wape
-            FROM mart GROUP BY dept ORDER BY wape DESC NULLS LAST, dept LIMIT 15""", _da, ops="K7")
+         grouped(("dept",), {
+             **summed("actual_weekly_sales", "forecast_weekly_sales", "abs_forecast_error"),
+             "wape": shared("abs_forecast_error", "actual_weekly_sales")},
+             "ORDER BY wape DESC NULLS LAST, dept LIMIT 15"), _da, ops="K7")
 _wt = sums("required_labor_hours", "available_labor_hours", "labor_gap_hours",
            "overtime_risk_hours", "estimated_overtime_cost")
 register("bq_weekly_trend", lambda w: questions.weekly_trend(w.mart),
-         """SELECT week_date, sum(required_labor_hours) AS required_labor_hours,
-                   sum(available_labor_hours) AS available_labor_hours,
-                   sum(labor_gap_hours) AS labor_gap_hours,
-                   sum(overtime_risk_hours) AS overtime_risk_hours,
-                   sum(estimated_overtime_cost) AS estimated_overtime_cost
-            FROM mart GROUP BY week_date ORDER BY week_date""", _wt, ops="K8 X3 T4")
+         grouped(("week_date",), summed(*questions.WEEKLY_SUMS), "ORDER BY week_date"), _wt, ops="K8 X3 T4")
 
 # --- dashboard datasets (X1-X10) ----------------------------------------------------
 _KPI_SQL = """SELECT count(*) AS row_count, sum(actual_weekly_sales) AS actual_weekly_sales,
@@ -264,11 +264,10 @@ register("labor_gap_heatmap", lambda w: dashboard.labor_gap_heatmap(w.mart),
          """SELECT store, dept, sum(labor_gap_hours) AS labor_gap_hours,
                    sum(overtime_risk_hours) AS overtime_risk_hours
             FROM mart GROUP BY store, dept""", sums("labor_gap_hours", "overtime_risk_hours"), ops="X4")
-register("labor_gap_heatmap_wide", lambda w: _edge_round_all(
-    dashboard.labor_gap_heatmap_wide(w.mart), keep=("store",)),
-         """PIVOT (SELECT store, dept, labor_gap_hours FROM mart) ON dept
-            USING sum(labor_gap_hours) GROUP BY store""", None, ops="X4 pivot")
-_REGISTRY["labor_gap_heatmap_wide"].round_all_except = ("store",)
+DEPTS = tuple(sorted(DEPT_BY_TYPE.values()))
+register("labor_gap_heatmap_wide", lambda w: dashboard.labor_gap_heatmap_wide(w.mart, list(DEPTS)),
+         grouped(("store",), {f'"{d}"': f"sum(labor_gap_hours) FILTER (WHERE dept = {d})" for d in DEPTS}),
+         sums(*map(str, DEPTS)), ops="X4 pivot")
 register("labor_plan_by_recommendation", lambda w: dashboard.labor_plan_by_recommendation(w.mart),
          """SELECT recommendation, count(*) AS row_count,
                    sum(required_labor_hours) AS required_labor_hours,
@@ -320,7 +319,8 @@ register("validate_counts", lambda w: validate.row_counts(w.tables()),
             UNION ALL SELECT 'analytics_labor_standards', count(*) FROM standards
             UNION ALL SELECT 'analytics_simulated_schedule', count(*) FROM schedule
             UNION ALL SELECT 'mart_workforce_dashboard', count(*) FROM mart""", ops="V1 G10")
-register("validate_sample", lambda w: validate.sample_rows(w.mart), None, ops="V2 T6")
+register("validate_sample", lambda w: validate.sample_rows(w.mart),
+         "SELECT * FROM mart ORDER BY store, dept, week_date LIMIT 20", ops="V2 T6")
 register("validate_fanout", lambda w: validate.fanout_check(w.mart_forecast, w.labor_standards,
                                                             w.schedule, w.mart),
          """SELECT 'standards_duplicate_depts' AS check_name,
@@ -345,7 +345,7 @@ register("impute_median", lambda w: models.fit_medians(w.split.train),
          + " FROM train", {c: 6 for c in NUMERIC_FEATURES}, ops="M4")
 register("onehot_holdout", lambda w: models.onehot_features(w.prepared), None, ops="M5 M6")
 register("forecast_ridge", lambda w: w.ridge_forecasts, None, ops="M6 M7 M9 M10")
-register("forecast_gbt", lambda w: w.gbt_forecasts, None, ops="M8 M9 M10")
+register("forecast_gbt_60_rounds", lambda w: w.gbt_forecasts, None, ops="M8 M9 M10")
 register("model_metrics_ml", lambda w: w.model_metrics, None, ops="M11 M13 M14")
 register("forecast_best_ml", lambda w: w.model_best, None, ops="M12")
 # --- sources, sinks and the SQL catalog (A1, A2, A6, A7) ----------------------------
@@ -366,13 +366,7 @@ def _sql_trend(w):
     return sql_api.sql(w, sql_api.WEEKLY_TREND_SQL)
 
 
-register("sql_weekly_trend", _sql_trend,
-         """SELECT week_date, sum(required_labor_hours) AS required_labor_hours,
-                   sum(available_labor_hours) AS available_labor_hours,
-                   sum(labor_gap_hours) AS labor_gap_hours,
-                   sum(overtime_risk_hours) AS overtime_risk_hours,
-                   sum(estimated_overtime_cost) AS estimated_overtime_cost
-            FROM mart GROUP BY week_date""", _wt, ops="A6 A7 K8")
+register("sql_weekly_trend", _sql_trend, grouped(("week_date",), summed(*questions.WEEKLY_SUMS)), _wt, ops="A6 A7 K8")
 # --- the larger department grain (brand x type), for volume -------------------------
 register("bt_feature_table", lambda w: w.feature_table, "SELECT * FROM feat", ops="M2 volume",
          grain="brand_type")
@@ -392,26 +386,13 @@ def all_queries() -> dict[str, Query]:
 def spark_callable(q: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return _round_spark(q.plan(Workspace(spark, sf_dir, dept_grain=q.grain)), q.rounding)
+        return _round_spark(q.plan(Workspace(spark, sf_dir, REGISTERED, dept_grain=q.grain)), q.rounding)
     run.__name__ = q.name
     return run
 
 
-def _edge_round_all(df: DataFrame, keep=(), digits: int = 4) -> DataFrame:
-    """Round every column but ``keep`` (pivot outputs have data-dependent names)."""
-    return df.withColumns({c: F.round(c, digits) for c in df.columns if c not in keep})
-
-
-def _sql_round_all(sql: str, keep=("store",), digits: int = 4) -> str:
-    keep_list = ", ".join(f'"{k}"' for k in keep)
-    return (f"SELECT {keep_list}, round(COLUMNS(* EXCLUDE ({keep_list})), {digits}) "
-            f"FROM (\n{sql}\n) q")
-
-
 def oracle_text(q: Query) -> str | None:
     if not q.sql:
         return None
     text = with_ctes(q.sql, q.grain)
-    if q.round_all_except:
-        return _sql_round_all(text, q.round_all_except)
     return _round_sql(text, q.rounding)

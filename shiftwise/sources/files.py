@@ -3,20 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shiftwise.functions.columns import slug, standardize_columns
 
 
+# Fields that stand for a missing value.
+MISSING = ("", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "n/a", "#N/A", "<NA>")
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, snake_case: bool = True) -> DataFrame:
-    """Header CSV with a declared schema; ``NA`` and empty fields are NULL,
-    dates as yyyy-MM-dd. Column names are normalized to snake case."""
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("nullValue", "NA")
-          .option("dateFormat", "yyyy-MM-dd")
-          .option("mode", "FAILFAST")
-          .csv(path))
+    """Header CSV read by column name, cast to a declared schema.
+
+    A missing column fails, extra ones are ignored. Fields that mark a missing
+    value (MISSING) and NaN are NULL; dates are yyyy-MM-dd; any other field
+    that does not fit its type fails. Names are normalized to snake case.
+    """
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    lacking = [f.name for f in schema.fields if f.name not in raw.columns]
+    if lacking:
+        raise ValueError(f"{path}: no column {', '.join(lacking)}")
+    cols = []
+    for f in schema.fields:
+        value = F.trim(F.col(f"`{f.name}`"))
+        value = F.when(~value.isin(*MISSING), value).cast(f.dataType)
+        cols.append(value.alias(f.name))
+    df = raw.select(*cols)
     return standardize_columns(df) if snake_case else df
 
 

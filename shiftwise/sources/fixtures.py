@@ -27,18 +27,8 @@ STORE_TYPES = ("A", "B", "C")
 SIZE_BASE, SIZE_STEP = 40000, 7000
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Parquet table as a DataFrame; one relation per session and path, so
-    the file listing and footer schema are read once, not once per query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _dept_expr(type_col: str, grain: str = "type", brand_col: str = "p_brand"):
@@ -68,15 +58,10 @@ def exact_ratio(units, scale: int) -> "F.Column":
     return (units.cast("decimal(38,0)") / F.lit(10 ** scale)).cast("double")
 
 
-def last_order_week(spark: SparkSession, sf_dir: str):
-    """Scalar subquery: Monday of the latest order date."""
-    orders = table(spark, sf_dir, "orders")
-    return orders.agg(F.max(monday("o_orderdate"))).scalar()
-
-
 def derive_sales(spark: SparkSession, sf_dir: str, grain: str = "type") -> DataFrame:
-    """Weekly sales per (store, dept); returned-and-filled lines count negative."""
-    cut = last_order_week(spark, sf_dir)
+    """Weekly sales per (store, dept); returned-and-filled lines count negative.
+
+    Every line counts: one of an unknown part or supplier has a NULL dept or store."""
     sign = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
                   F.lit(-1)).otherwise(F.lit(1))
     # price (cents) x (100 - discount points): exact amount in 1/10000 units
@@ -84,18 +69,15 @@ def derive_sales(spark: SparkSession, sf_dir: str, grain: str = "type") -> DataF
     amount = cents("l_extendedprice") * (F.lit(100) - points) * sign
     lines = (
         table(spark, sf_dir, "lineitem")
-        # monday(ship) <= cut  <=>  ship < cut + 7 days; stated on the raw column
-        .where(F.col("l_shipdate") < F.date_add(cut, 7).cast("timestamp_ntz"))
         .select("l_partkey", "l_suppkey",
                 monday("l_shipdate").alias("date"), amount.alias("amount"))
     )
     part = (table(spark, sf_dir, "part")
-            .select(F.col("p_partkey"), _dept_expr("p_type", grain).alias("dept"))
-            .where(F.col("dept").isNotNull()))
+            .select(F.col("p_partkey"), _dept_expr("p_type", grain).alias("dept")))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("store"))
     joined = (lines
-              .join(part, lines.l_partkey == part.p_partkey)
-              .join(supplier, lines.l_suppkey == supplier.s_suppkey))
+              .join(part, lines.l_partkey == part.p_partkey, "left")
+              .join(supplier, lines.l_suppkey == supplier.s_suppkey, "left"))
     return (joined.groupBy("store", "dept", "date")
             .agg(exact_ratio(F.sum("amount"), 4).alias("weekly_sales"))
             .withColumn("is_holiday", is_holiday_week("date")))
@@ -144,13 +126,3 @@ def derive_test(sales: DataFrame, weeks: int = 13) -> DataFrame:
                         F.expr("INTERVAL 7 DAYS"))
     return (series.select("store", "dept", F.explode(future).alias("date"))
             .withColumn("is_holiday", is_holiday_week("date")))
-
-
-def derive_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    sales = derive_sales(spark, sf_dir)
-    return {
-        "sales": sales,
-        "stores": derive_stores(spark, sf_dir),
-        "features": derive_features(spark, sf_dir),
-        "test": derive_test(sales),
-    }
