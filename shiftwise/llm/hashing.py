@@ -95,7 +95,7 @@ def in_parts(texts: list[str | None], limit: int = 1_000_000) -> Iterator[list[b
         yield run
 
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 SLICES = 64
 FAN = 64
 

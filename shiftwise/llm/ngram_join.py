@@ -63,7 +63,7 @@ def shingle_sketch(texts: DataFrame, size: int) -> np.ndarray:
         for b in it:
             for part in in_parts(b["text"].tolist()):
                 h = np.concatenate(shingle_sets(part, size))
-                total += np.bincount(bucket(h), minlength=1 << SKETCH_BITS).astype(np.uint32)
+                np.add.at(total, bucket(h), np.uint32(1))
         yield sliced(total, TaskContext.get().partitionId())
 
     counts = add_up(texts.select("text").mapInPandas(count, SLICE), texts.rdd.getNumPartitions())
@@ -167,6 +167,13 @@ def _need(percent: int) -> Column:
     return F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / F.lit(100.0 + percent))
 
 
+def _may_overlap(percent: int) -> Column:
+    """Prefix overlap filter where ``shared`` bounds the common prefix shingles of sets of n and m: what lies
+    behind the longer prefix can add only the rest."""
+    rest = F.ceil(F.lit(percent) * F.greatest("n", "m") / 100.0) - 1
+    return F.col("shared") + rest >= _need(percent)
+
+
 def star_pairs(lists: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
     """Per class one untried partner of another component: the class that leads most of its posting lists.
 
@@ -175,8 +182,9 @@ def star_pairs(lists: DataFrame, tried: DataFrame | None, percent: int) -> DataF
     lead = lists.groupBy("h").agg(F.max(F.struct("rich", "n", "cls", "comp")).alias("lead"),
                                   F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
     votes = (lists.join(lead, "h").where((F.col("comp") != F.col("lead.comp")))
-             .select("cls", "n", F.col("lead.cls").alias("other"), F.col("lead.n").alias("m"))
-             .where(_long_enough(percent)).groupBy("cls", "other").agg(F.count(F.lit(1)).alias("votes"))
+             .select("cls", "n", F.col("lead.cls").alias("other"), F.col("lead.n").alias("m"),
+                     F.least("rich", "lead.rich").alias("shared"))  # no pair shares more than either shares with all
+             .where(_long_enough(percent) & _may_overlap(percent)).groupBy("cls", "other").agg(F.count(F.lit(1)).alias("votes"))
              .select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"), "cls", "votes"))
     if tried is not None:
         votes = votes.join(tried, ["a", "b"], "left_anti")
@@ -192,9 +200,8 @@ def cross_pairs(lists: DataFrame, tried: DataFrame | None, percent: int) -> Data
     y = rest.select("h", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("pos").alias("j"), F.col("comp").alias("d"))
     room = (F.least("i", "j") + 1 + F.least(F.col("n") - F.col("i") - 1, F.col("m") - F.col("j") - 1)) >= _need(percent)
     met = x.join(y, "h").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _long_enough(percent) & room)
-    rest_n = F.ceil(F.lit(percent) * F.greatest("n", "m") / 100.0) - 1  # what lies behind the longer prefix
     pairs = (met.groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("shared"))
-             .where(F.col("shared") + rest_n >= _need(percent)).select("a", "b"))
+             .where(_may_overlap(percent)).select("a", "b"))
     return pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs
 
 
@@ -213,8 +220,6 @@ def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple
     shared = entries.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("df > 1").drop("df")
     shared = materialize(shared, "join_shared")
     rich = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("rich"))
-    rich = materialize(rich, "join_rich")
-    sets = materialize(whole_sets(texts, rich, size), "join_sets")
     lists = materialize(shared.join(rich, "cls").select("h", "cls", "n", "pos", "rich"), "join_lists")
     labels = links = tried = None
     for step in range(STAR_ROUNDS + 1):
@@ -222,6 +227,10 @@ def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple
             lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
         pairs = star_pairs(here, tried, percent) if step < STAR_ROUNDS else cross_pairs(here, tried, percent)
         pairs = materialize(pairs, "join_pairs")
+        if not pairs.limit(1).count():
+            continue
+        wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        sets = materialize(whole_sets(texts, materialize(wanted, "join_wanted"), size), "join_sets")
         new = materialize(verified(pairs, sets, percent), "join_links")
         tried = pairs if tried is None else tried.union(pairs)
         links = new if links is None else links.union(new)
