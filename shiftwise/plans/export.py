@@ -33,17 +33,18 @@ def export(ws: Workspace, out: str, models: str = "naive") -> dict[str, str]:
         forecasts = ws.naive_forecasts.unionByName(ws.model_forecasts)
     else:
         forecasts = ws.naive_forecasts
-    metrics = evaluate.model_metrics(forecasts, ws.split.start)
-    best = evaluate.forecast_best(forecasts, metrics)
     p = {name: os.path.join(out, name) for name in (
         "forecast_by_model", "forecast_all_models", "forecast_best", "model_comparison",
         "model_metrics", "model_metrics_json", "labor_standards", "simulated_schedule",
         "mart_workforce_dashboard", "mart_store_week_summary", "mart_forecast_accuracy_summary",
         "mart_top_at_risk_store_depts")}
-    files.write_per_model(forecasts, p["forecast_by_model"], fmt="csv")
+    spark = ws.spark
     files.write_table(forecasts, p["forecast_all_models"])
+    forecasts = spark.read.parquet(p["forecast_all_models"])  # computed once, read by all below
+    metrics = evaluate.model_metrics(forecasts, ws.split.start)
+    best = evaluate.forecast_best(forecasts, metrics)
+    files.write_per_model(forecasts, p["forecast_by_model"], fmt="csv")
     files.write_table(best, p["forecast_best"])
-    spark = ws.spark
     best = spark.read.parquet(p["forecast_best"])  # later writes start from the written table
     files.write_csv(evaluate.model_comparison(metrics).coalesce(1), p["model_comparison"])
     files.write_csv(evaluate.model_comparison(metrics).coalesce(1), p["model_metrics"])
@@ -57,7 +58,6 @@ def export(ws: Workspace, out: str, models: str = "naive") -> dict[str, str]:
     files.write_table(rollups.store_week_summary(mart), p["mart_store_week_summary"])
     files.write_table(rollups.forecast_accuracy_summary(mart), p["mart_forecast_accuracy_summary"])
     files.write_table(rollups.top_at_risk(mart), p["mart_top_at_risk_store_depts"])
-    ws.release()
     return p
 
 
@@ -73,6 +73,7 @@ def main(argv=None) -> None:
     ws = Workspace(spark, args.input, persist=True)
     for name, path in export(ws, args.output, args.models).items():
         print(f"{name}: {path}")
+    ws.release()
 
 
 if __name__ == "__main__":

@@ -62,7 +62,12 @@ def test_entry_smoke(spark):
     assert len(rows) == 13
 
 
-def test_fixture_table_reused_per_session(spark):
-    a = fixtures.table(spark, SF, "nation")
-    b = fixtures.table(spark, SF, "nation")
-    assert a is b
+def test_fixture_table_sees_new_files(spark, tmp_path):
+    """A table is listed anew each time: files added later count."""
+    from shiftwise.sources import fixtures
+
+    path = f"{tmp_path}/nation.parquet"
+    spark.range(3).write.parquet(path)
+    assert fixtures.table(spark, str(tmp_path), "nation").count() == 3
+    spark.range(4).write.mode("append").parquet(path)
+    assert fixtures.table(spark, str(tmp_path), "nation").count() == 7
