@@ -11,8 +11,9 @@ each (prefix filter), so only those are shuffled, joined, and filtered:
 * positional: what precedes and follows the shared shingle must leave room for
   the overlap that t demands;
 * prefix overlap: the side whose prefix ends first has all its common shingles
-  of the prefix in the other's prefix, so overlap <= shared + |rest|, which
-  also shortens the prefixes for the two lengths at hand;
+  of the prefix in the other's prefix, so overlap <= shared + |rest|;
+* pair prefix: for the two lengths at hand the prefixes end earlier, after
+  n - o + 1 shingles each if the sets must overlap in o;
 * suffix: the sets' counts in 16 hash ranges bound the overlap from above.
 
 What passes is verified once per pair on the whole sets. Groups of thousands
@@ -41,8 +42,7 @@ from shiftwise.session import materialize
 
 WORDS = 5
 PERCENT = 75
-STAR_ROUNDS = 3
-SHARED = 4
+STAR_ROUNDS = 2
 
 
 def class_key(hashes: np.ndarray) -> int:
@@ -195,23 +195,21 @@ def star_pairs(lists: DataFrame, tried: DataFrame | None, percent: int) -> DataF
 
 
 def cross_pairs(lists: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
-    """All pairs of different components that share enough prefix shingles and pass the filters.
+    """All pairs of different components that share a shingle of their pair prefixes and pass the filters.
 
-    Sets of n and m that overlap in t share at least l shingles among the first n - t + l of one and the first
-    m - t + l of the other: with fewer, the side whose part ends first could reach t - 1 at most. So only places
-    inside those parts meet, l being SHARED, or less where the stored prefix is too short for it.
+    Sets of n and m that overlap in t share one shingle at least among the first n - t + 1 of one and the first
+    m - t + 1 of the other, so only places inside those parts meet. Asking for more shared shingles needs longer
+    parts, which reach into the frequent shingles: fewer pairs in the end, but far more rows on the way.
     """
     open_lists = lists.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
     rest = lists.join(open_lists, "h", "left_semi")
     x = rest.select("h", F.col("cls").alias("a"), "n", F.col("pos").alias("i"), F.col("comp").alias("c"))
     y = rest.select("h", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("pos").alias("j"), F.col("comp").alias("d"))
     room = (F.least("i", "j") + 1 + F.least(F.col("n") - F.col("i") - 1, F.col("m") - F.col("j") - 1)) >= _need(percent)
-    least = F.least(F.lit(SHARED), _need(percent) - F.ceil(F.lit(percent) * F.greatest("n", "m") / 100.0) + 1)
-    inside = (F.col("i") < F.col("n") - _need(percent) + least) & (F.col("j") < F.col("m") - _need(percent) + least)
+    inside = (F.col("i") <= F.col("n") - _need(percent)) & (F.col("j") <= F.col("m") - _need(percent))
     met = x.join(y, "h").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _long_enough(percent) & room
                                & inside)
-    pairs = (met.groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("shared"))
-             .where(F.col("shared") >= least).select("a", "b"))
+    pairs = met.select("a", "b").distinct()
     return pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs
 
 
