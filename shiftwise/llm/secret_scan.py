@@ -223,9 +223,9 @@ def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked (n_chars, if there, counts the masked text)."""
-    bins = limits(materialize(scan(docs, []).select("runs", "background"), "secret_scan"))
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    found = with_spans(scan(docs, [own]), bins)
+    scanned = materialize(scan(docs, [own]).drop("_text"), "secret_scan")  # the scan is dearer than writing the rows
+    found = with_spans(scanned, limits(scanned)).withColumn("_text", empty_if_null("_row.text"))
     hit = F.size("all_spans") > 0
     found = found.withColumn("_new", F.when(hit, redacted(F.col("_text"), F.col("all_spans"))))
     cols = []
