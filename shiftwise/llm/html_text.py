@@ -2,7 +2,10 @@
 
 A small tree builder closes what HTML lets authors leave open (p, li, table
 rows and cells, options, definition terms), void elements never nest, and a
-stray end tag closes nothing it does not match. The renderer walks the tree
+stray end tag closes nothing it does not match. Rows and cells always reach
+their table: a missing row is implied, an open column group or stray element
+closed, and what may not stand in a table, a section or a row is moved before
+the table, as browsers do. The renderer walks the tree
 without recursion over blocks: hidden parts (script, style, template, hidden,
 display:none ...) are skipped, white space collapses as in a browser, blocks
 stand on lines of their own with blank lines around paragraphs, headings and
@@ -39,6 +42,12 @@ IMPLIED = {
     "tfoot": {"thead", "tbody", "tfoot", "tr", "td", "th", "caption"},
     "body": {"head"},
 }
+#: The elements of a table, and where the stack is cleared back to when one starts.
+SECTIONS = {"thead", "tbody", "tfoot"}
+PLACE = {"tr": SECTIONS, "td": SECTIONS | {"tr"}, "th": SECTIONS | {"tr"},
+         **dict.fromkeys(["caption", "colgroup", "col", *SECTIONS], set())}
+STRUCTURE = SECTIONS | {"table", "tr"}  # they hold elements of the table only
+UNMOVED = {"script", "style", "template"}
 SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
 NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 SPACES = re.compile(r"[ \t\n\f\r]+")
@@ -65,15 +74,57 @@ class TreeBuilder(HTMLParser):
             if self.open[i].tag in tags:
                 del self.open[i:]
 
+    def add(self, item) -> None:
+        """Appends a text or an element; in a table, but in none of its cells, before the table."""
+        if self.open[-1].tag == "colgroup":
+            self.open.pop()
+        if self.open[-1].tag in STRUCTURE:
+            for i in range(len(self.open) - 1, 0, -1):
+                if self.open[i].tag == "table":
+                    self.open[i - 1].items.insert(-1, item)  # an open table is its parent's last
+                    return
+        self.open[-1].items.append(item)
+
+    def table_at(self, cells: bool) -> int:
+        """The nearest open table, 0 if none; with ``cells`` false none whose cell or caption is open."""
+        for i in range(len(self.open) - 1, 0, -1):
+            tag = self.open[i].tag
+            if tag == "table":
+                return i
+            if tag == "template" or not cells and tag in ("td", "th", "caption"):
+                return 0
+        return 0
+
+    def clear_back(self, tag: str) -> None:
+        """Closes what is open in the table down to where ``tag`` may stand, and implies a cell's row."""
+        table = self.table_at(True)
+        if not table:
+            return
+        at = next((i for i in range(len(self.open) - 1, table, -1) if self.open[i].tag in PLACE[tag]), table)
+        del self.open[at + 1:]
+        if tag in ("td", "th") and self.open[-1].tag != "tr":
+            row = Node("tr", {})
+            self.open[-1].items.append(row)
+            self.open.append(row)
+
     def handle_starttag(self, tag, attrs):
         if tag == "html":
             return
+        if tag == "table" and (at := self.table_at(False)):
+            del self.open[at:]  # a table directly in a table ends it
+        if tag == "form" and self.open[-1].tag in STRUCTURE | {"colgroup"}:
+            return  # it holds nothing there
         if tag in BLOCK or tag == "body":
             self.close_until({"p"}, {"table", "button", "td", "th", "caption"})
         if tag in IMPLIED:
             self.close_until(IMPLIED[tag], SCOPE.get(tag, {"table"}))
         node = Node(tag, dict(attrs))
-        self.open[-1].items.append(node)
+        if tag in PLACE and not (tag == "col" and self.open[-1].tag == "colgroup"):
+            self.clear_back(tag)
+        if tag in PLACE or tag in UNMOVED:
+            self.open[-1].items.append(node)
+        else:
+            self.add(node)
         if tag not in VOID:
             self.open.append(node)
 
@@ -82,16 +133,20 @@ class TreeBuilder(HTMLParser):
 
     def handle_endtag(self, tag):
         if tag == "br":
-            self.open[-1].items.append(Node("br", {}))
+            self.add(Node("br", {}))
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
                 del self.open[i:]
                 return
-            if self.open[i].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
-                return  # an end tag does not reach out of its cell
+            if tag != "template" and (self.open[i].tag in ("table", "template")
+                                      or self.open[i].tag in ("td", "th") and tag not in STRUCTURE):
+                return  # an end tag does not reach out of its cell, its table or its template
 
     def handle_data(self, data):
-        self.open[-1].items.append(data)
+        if data.strip(" \t\n\f\r"):
+            self.add(data)
+        else:
+            self.open[-1].items.append(data)
 
 
 def shown(node: Node) -> bool:

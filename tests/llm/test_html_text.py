@@ -22,6 +22,20 @@ CASES = [
     ("<td>stray</td></div></p>x", "stray x"),
     ("<dl><dt>t<dd>d<dt>u<dd>e</dl>", "t\n  d\nu\n  e"),
     ("", ""), (None, ""), ("<", "<"), ("no tags", "no tags"),
+    ("<table><form><tr><td>a<td>b</form></table>c", "a  b\n\nc"),
+    ("<table><td>x<td>y</table>", "x  y"),
+    ("<table><tbody><td>x<tr><td>y</table>", "x\ny"),
+    ("<table><colgroup><col><col><tr><td>a<td>b</table>", "a  b"),
+    ("<table><col><tr><td>a</table>", "a"),
+    ("<table>text<tr><td>a</table>", "text\n\na"),
+    ("<table><tr>in row<td>a</tr><div>block</div>tail</table>", "in row\nblock\ntail\n\na"),
+    ("<table><tbody><p>para<tr><td>a</table>z", "para\n\na\n\nz"),
+    ("<table><tr><td>a<div><tr><td>b</table>", "a\nb"),
+    ("<table><tr><table><tr><td>inner</table>x", "inner\n\nx"),
+    ("<table><tr><td><table><tr><td>in</table>out<td>b</table>", "in out  b"),
+    ("<table><caption>cap<td>a</table>", "cap\na"),
+    ("<table><tr><b>bold</b><select><option>o</select><td>a</table>", "bold\no\n\na"),
+    ("<table><template><tr><td>no</template><tr><td>a</table>", "a"),
     ("<div>" * 5000 + "deep" + "</div>" * 5000, "deep"),
 ]
 
