@@ -5,9 +5,10 @@ rows and cells, options, definition terms), void elements never nest, and a
 stray end tag closes nothing it does not match. Rows and cells always reach
 their table: a missing row is implied, an open column group or stray element
 closed, and what may not stand in a table, a section or a row is moved before
-the table, as browsers do. The renderer walks the tree
+the table, as browsers do. A head ends at the first thing that it may not hold. The renderer walks the tree
 without recursion over blocks: hidden parts (script, style, template, hidden,
-display:none ...) are skipped, white space collapses as in a browser, blocks
+display:none ...) are skipped, of drawings the text elements are kept and
+formulas are read as text, white space collapses as in a browser, blocks
 stand on lines of their own with blank lines around paragraphs, headings and
 lists, list items carry a bullet or number, preformatted text keeps its lines,
 and table cells are padded to aligned columns.
@@ -30,7 +31,7 @@ from shiftwise.llm.common import table
 
 # Fixed values from the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("head script style template noscript title iframe object svg math canvas audio video datalist".split())
+HIDDEN = set("head script style template noscript title iframe object canvas audio video datalist".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr".split())
 BLOCK = SPACED | set("html body div section article header footer nav main aside address form fieldset li dt dd "
                      "figcaption details summary tr caption legend option center".split())
@@ -49,6 +50,14 @@ PLACE = {"tr": SECTIONS, "td": SECTIONS | {"tr"}, "th": SECTIONS | {"tr"},
 STRUCTURE = SECTIONS | {"table", "tr"}  # they hold elements of the table only
 UNMOVED = {"script", "style", "template"}
 SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
+#: What an open head may hold; any other element, or text, ends it.
+HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Parts of a drawing or formula that are not shown, the elements in it that hold HTML again, and those that end it.
+UNDRAWN = set("annotation annotation-xml clippath defs desc marker mask metadata pattern symbol".split())
+HOLDS_HTML = set("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = BLOCK - set("html section article header footer nav main aside address form fieldset figcaption details summary tr "
+                       "caption legend option hr figure".split()) | set(
+    "b big br code em embed hr i img meta nobr ruby s small span strong strike sub sup tt var".split())
 NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 SPACES = re.compile(r"[ \t\n\f\r]+")
 
@@ -108,8 +117,13 @@ class TreeBuilder(HTMLParser):
             self.open.append(row)
 
     def handle_starttag(self, tag, attrs):
-        if tag == "html":
+        if tag == "html" or tag == "head" and (len(self.open) > 1 or any(
+                isinstance(x, Node) or x.strip() for x in self.root.items)):
             return
+        if self.open[-1].tag == "head" and tag not in HEAD:
+            self.open.pop()
+        if tag in BREAKOUT and (at := self.drawing_at()):
+            del self.open[at:]
         if tag == "table" and (at := self.table_at(False)):
             del self.open[at:]  # a table directly in a table ends it
         if tag == "form" and self.open[-1].tag in STRUCTURE | {"colgroup"}:
@@ -119,6 +133,8 @@ class TreeBuilder(HTMLParser):
         if tag in IMPLIED:
             self.close_until(IMPLIED[tag], SCOPE.get(tag, {"table"}))
         node = Node(tag, dict(attrs))
+        if tag in UNDRAWN and self.drawing_at():
+            node.attrs["hidden"] = ""
         if tag in PLACE and not (tag == "col" and self.open[-1].tag == "colgroup"):
             self.clear_back(tag)
         if tag in PLACE or tag in UNMOVED:
@@ -128,8 +144,21 @@ class TreeBuilder(HTMLParser):
         if tag not in VOID:
             self.open.append(node)
 
+    def drawing_at(self) -> int:
+        """The nearest open svg or math whose own elements are read, 0 if none."""
+        for i in range(len(self.open) - 1, 0, -1):
+            tag = self.open[i].tag
+            if tag in ("svg", "math"):
+                return i
+            if tag in BREAKOUT or tag in HOLDS_HTML:
+                return 0
+        return 0
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        if self.open[-1].tag == tag and tag not in VOID and (tag in ("svg", "math") or self.drawing_at() or (
+                tag in HOLDS_HTML and any(x.tag in ("svg", "math") for x in self.open))):
+            self.open.pop()  # only there a slash ends an element
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -144,6 +173,8 @@ class TreeBuilder(HTMLParser):
 
     def handle_data(self, data):
         if data.strip(" \t\n\f\r"):
+            if self.open[-1].tag == "head":
+                self.open.pop()
             self.add(data)
         else:
             self.open[-1].items.append(data)
@@ -155,6 +186,22 @@ def shown(node: Node) -> bool:
                 or NOT_SHOWN.search(a.get("style") or ""))
 
 
+def drawn(svg: Node) -> list:
+    """What a drawing shows as text: its text elements, and foreign objects as blocks."""
+    out, todo = [], [svg]
+    while todo:
+        x = todo.pop()
+        if x.tag == "text":
+            out += [" ", x, " "]
+        elif x.tag == "foreignobject":
+            block = Node("div", {})
+            block.items = x.items
+            out.append(block)
+        else:
+            todo += [c for c in reversed(x.items) if isinstance(c, Node) and shown(c)]
+    return out
+
+
 class Lines:
     """Collects rendered text: collapses spaces, and keeps at most one blank line between blocks."""
 
@@ -248,7 +295,10 @@ def render(root: Node, depth: int = 0) -> list[str]:
                     out.put(line)
                 out.gap = True
                 continue
-            if x.tag in ("td", "th"):  # a cell outside of a table
+            if x.tag == "svg":
+                todo += [("in", c) for c in reversed(drawn(x))]
+                continue
+            if x.tag in ("td", "th", "mtd"):  # a cell outside of a table
                 out.text(" ")
                 todo.append(("in", " "))
             if x.tag in ("ul", "ol"):

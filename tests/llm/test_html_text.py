@@ -36,6 +36,18 @@ CASES = [
     ("<table><caption>cap<td>a</table>", "cap\na"),
     ("<table><tr><b>bold</b><select><option>o</select><td>a</table>", "bold\no\n\na"),
     ("<table><template><tr><td>no</template><tr><td>a</table>", "a"),
+    ("<head><title>T</title><p>whole<p>article", "whole\n\narticle"),
+    ("<html><head><meta charset=utf-8><title>T</title>\n text <b>only</b>", "text only"),
+    ("<head><script>x()</script><style>p{}</style><noscript>no</noscript><h1>H</h1>", "H"),
+    ("<head><noscript><link></head><body>a", "a"),
+    ("<p>a</p><head><p>b</head>c", "a\n\nbc"),
+    ("<title>T</title><head><link>text", "text"),
+    ("a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b", "a x=1 b"),
+    ("<math><semantics><mi>y</mi><annotation>\\y</annotation></semantics></math>", "y"),
+    ("a <svg><title>no</title><g>no<text x=1>one <tspan>two</tspan></text><text>three</text></g></svg> b", "a one two three b"),
+    ("<svg><defs><text>no</text></defs><path/><desc/><text>yes</text></svg>", "yes"),
+    ("<svg><foreignObject><p>in</p></foreignObject></svg>out", "in\n\nout"),
+    ("a<svg/>b<svg><circle><p>c", "ab\n\nc"),
     ("<div>" * 5000 + "deep" + "</div>" * 5000, "deep"),
 ]
 
