@@ -1,9 +1,11 @@
 """Secret scan: fixed patterns plus a randomness test battery.
 
 The base patterns (assignments, access keys, hex runs) give spans by rule. The
-battery looks at every other run of 20 or more key characters: it infers the
-run's encoding (hex, base32, base36, base62, base64, letters), and measures how
-far it departs from uniform random symbols by three tests: chi-squared over
+battery looks at every other run of 20 or more key characters, = only at its
+end, and at what base spans leave of a run. A run that mixes + / with - _ is
+tested whole, and so are its parts between - _ and between + /; of the spans
+found, those inside another are left out. The battery infers the run's encoding
+(hex, base32, base36, base62, base64, letters), and measures how far it departs from uniform random symbols by three tests: chi-squared over
 the alphabet, the number of runs above and below the middle symbol, and serial
 correlation. The sum of squared z-scores is the departure.
 
@@ -31,7 +33,8 @@ ASSIGN = ("((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"
 ASSIGN_LEAST = 6
 ACCESS = "AKIA[A-Z0-9]{16,}"  # a maximal run, as with + and a least length of 20
 HEX = "[0-9a-f]{24,}"  # likewise, 24
-RUN = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+RUN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}=*"
+MIXED = "[+/].*[_-]|[_-].*[+/]"
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: (encoding rule, alphabet), first match counts; runs without digits are letters, digits alone are numbers and skipped.
@@ -48,6 +51,7 @@ ENCODINGS = (
     ("^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
     ("^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
     ("^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
+    ("^[A-Za-z0-9+/_-]+$", UPPER + LOWER + DIGITS + "+/-_"),
 )
 WINDOWS = 4  # text windows a document gives to each length class
 CLASSES = (20, 28, 36, 48, 64, 96)  # least length of each length class
@@ -120,6 +124,40 @@ def _bin(t: Column) -> Column:
     return F.least(F.floor(t * BINS_PER_UNIT), F.lit(LAST_BIN)).cast("int")
 
 
+def _no_pieces() -> Column:
+    return F.array().cast("array<struct<start:int,found:string>>")
+
+
+def _left_of(run: Column, base: Column) -> Column:
+    """Array of (start, found): what the base spans, in order, leave of a run."""
+    over = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+
+    def upto(s: Column, end: Column) -> Column:
+        return F.struct(s["at"].alias("start"), F.substring(run["found"], s["at"] - run["start"] + 1, end - s["at"]).alias("found"))
+
+    left = F.aggregate(
+        over, F.struct(run["start"].alias("at"), _no_pieces().alias("out")),
+        lambda s, b: F.struct(F.greatest(s["at"], b["end"]).alias("at"), F.concat(s["out"], F.when(
+            b["start"] > s["at"], F.array(upto(s, b["start"]))).otherwise(_no_pieces())).alias("out")),
+        lambda s: F.concat(s["out"], F.when(run["end"] > s["at"], F.array(upto(s, run["end"]))).otherwise(_no_pieces())))
+    whole = F.array(F.struct(run["start"].alias("start"), run["found"].alias("found")))
+    return F.when(F.exists(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])), left).otherwise(whole)
+
+
+def _with_parts(piece: Column) -> Column:
+    """Array of (start, found): the piece and, if it mixes encodings, its parts of one encoding."""
+    def parts(marks: str) -> Column:
+        return F.aggregate(
+            F.split(piece["found"], marks, -1), F.struct(piece["start"].alias("at"), _no_pieces().alias("out")),
+            lambda s, x: F.struct((s["at"] + F.length(x) + 1).alias("at"), F.concat(s["out"], F.when(
+                F.length(x) >= CLASSES[0], F.array(F.struct(s["at"].alias("start"), x.alias("found")))
+            ).otherwise(_no_pieces())).alias("out")),
+            lambda s: s["out"])
+
+    whole = F.array(piece)
+    return F.when(F.rlike(piece["found"], F.lit(MIXED)), F.concat(whole, parts("[_-]"), parts("[+/]"))).otherwise(whole)
+
+
 def scan(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFrame:
     """``keep`` plus base (spans), runs (tested spans with length class and departure bin) and
     background (class and bin of text windows)."""
@@ -130,16 +168,19 @@ def scan(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFra
         "_hex": _spans(text, HEX, 2), "_run": _spans(text, RUN, 3),
         "_letters": F.lower(F.regexp_replace("_text", "[^A-Za-z]", "")), "_seed": F.xxhash64("_text")})
     df = df.withColumn("base", F.array_sort(F.concat(_bare(F.col("_assign")), _bare(F.col("_access")), _bare(F.col("_hex")))))
-    fresh = F.filter("_run", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    df = df.withColumn("_left", F.flatten(F.transform("_run", lambda r: _left_of(r, F.col("base")))))
+    df = df.withColumn("_pieces", F.flatten(F.transform(F.filter(
+        "_left", lambda x: F.length(x["found"]) >= CLASSES[0]), _with_parts)))
 
     def encoded(r: Column) -> Column:
         m = F.rtrim(r["found"], F.lit("="))
         alphabet = F.lit("")
         for rule, letters in reversed(ENCODINGS):
             alphabet = F.when(F.rlike(m, F.lit(rule)), F.lit(letters)).otherwise(alphabet)
-        return F.struct(r["start"].alias("start"), r["end"].alias("end"), m.alias("m"), alphabet.alias("alphabet"))
+        return F.struct(r["start"].alias("start"), (r["start"] + F.length(r["found"])).alias("end"), m.alias("m"),
+                        alphabet.alias("alphabet"))
 
-    usable = F.filter(F.transform(fresh, encoded), lambda r: (r["alphabet"] != "") & (F.length(r["m"]) >= CLASSES[0]))
+    usable = F.filter(F.transform("_pieces", encoded), lambda r: (r["alphabet"] != "") & (F.length(r["m"]) >= CLASSES[0]))
     df = df.withColumn("_tested", departure(usable))
     windows = []
     for i, n in [(i, n) for i, n in enumerate(CLASSES) for _ in range(WINDOWS)]:
@@ -154,7 +195,7 @@ def scan(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFra
             y["x"]["start"].alias("start"), y["x"]["end"].alias("end"),
             _class(F.length(y["x"]["m"])).alias("cls"), _bin(y["t"]).alias("bin"))),
         "background": F.transform("_windows", lambda y: F.struct(y["x"]["cls"].alias("cls"), _bin(y["t"]).alias("bin"))),
-    }).drop("_assign", "_access", "_hex", "_run", "_letters", "_seed", "_tested", "_windows")
+    }).drop("_assign", "_access", "_hex", "_run", "_left", "_pieces", "_letters", "_seed", "_tested", "_windows")
 
 
 def limits(scanned: DataFrame, rate: float = RATE) -> list[int]:
@@ -186,9 +227,11 @@ def limits(scanned: DataFrame, rate: float = RATE) -> list[int]:
 def with_spans(scanned: DataFrame, bins: list[int]) -> DataFrame:
     """Adds ``all_spans``: base spans and the runs that the battery holds for random."""
     limit = F.array(*[F.lit(b) for b in bins])
-    added = F.transform(F.filter("runs", lambda r: r["bin"] <= F.get(limit, r["cls"])), lambda r: F.struct(
-        r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))
-    return scanned.withColumn("all_spans", F.array_sort(F.concat("base", added)))
+    found = scanned.withColumn("_random", F.array_distinct(F.transform(
+        F.filter("runs", lambda r: r["bin"] <= F.get(limit, r["cls"])),
+        lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))))
+    outer = F.filter("_random", lambda r: ~F.exists("_random", lambda o: (o != r) & (o["start"] <= r["start"]) & (r["end"] <= o["end"])))
+    return found.withColumn("all_spans", F.array_sort(F.concat("base", outer))).drop("_random")
 
 
 def _joined(spans: str) -> Column:

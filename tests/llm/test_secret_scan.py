@@ -47,6 +47,33 @@ def test_battery_finds_random_runs_only(docs):
     assert len(hits - planted) <= 2
 
 
+def test_keys_that_touch_names_paths_or_base_spans(docs):
+    """Ways to stand beside a key, 20 keys each; none was tested when the whole run had to fit one encoding."""
+    rng = random.Random(5)
+    rows, _ = _corpus(rng)
+    alnum = string.ascii_letters + string.digits
+
+    def key(n, extra=""):
+        """Random, with every symbol of ``extra`` somewhere inside."""
+        out = [rng.choice(alnum + extra) for _ in range(n)]
+        for at, c in zip(rng.sample(range(1, n - 1), len(extra)), extra):
+            out[at] = c
+        return "".join(out)
+
+    ways = [lambda: ("AWS_SECRET_ACCESS_KEY=", key(64, "/+")), lambda: ("sig=", key(63, "+/") + "="), lambda: ("NAME=", key(64)),
+            lambda: ("some_dir-x_", key(64, "/+")), lambda: ("a/b+c/", key(64, "-_")), lambda: ("", key(66, "+/-_")),
+            lambda: ("AKIA" + "X9" * 8, "q" + key(64)), lambda: ("a=b=c=", key(64) + "==")]
+    prose = rows[2][1] + " \u00e9 "
+    texts = {1000 + i: (prose + a, b) for i in range(20 * len(ways)) for a, b in [ways[i % len(ways)]()]}
+    got = {r["doc_id"]: r["spans"] for r in secret_scan(docs(rows + [(k, a + b + " end") for k, (a, b) in texts.items()])).collect()}
+    found = [0] * len(ways)
+    for k, (a, b) in texts.items():
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[k].split(",") if x.startswith("random")]
+        found[k % len(ways)] += any(s <= len(a) + 1 and len(a) + len(b) <= e for s, e in spans)
+        assert not any(p <= s and e <= q for s, e in spans for p, q in spans if (s, e) != (p, q)), got[k]
+    assert min(found) >= 15 and sum(found) >= 0.9 * len(texts), found
+
+
 def test_stage_masks(spark, docs):
     rows, planted = _corpus(random.Random(9))
     rows += [(1000, 'a token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" é'), (1001, None), (1002, "clean text")]
