@@ -10,8 +10,8 @@ the alphabet, the number of runs above and below the middle symbol, and serial
 correlation. The sum of squared z-scores is the departure.
 
 Ordinary text departs too, but the shorter it is the less it shows. So the
-p-value of a run is the share of text windows *of its length class*, drawn
-from every document, that depart as little; Benjamini-Hochberg over all runs
+p-value of a run is the share of text windows *of its length class*, all
+adjacent ones of the letters of every document, that depart as little; Benjamini-Hochberg over all runs
 of the corpus then bounds the share of false discoveries. Histograms (length
 classes x departure bins, a fixed number of cells) are all that leaves Spark.
 
@@ -53,8 +53,9 @@ ENCODINGS = (
     ("^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
     ("^[A-Za-z0-9+/_-]+$", UPPER + LOWER + DIGITS + "+/-_"),
 )
-WINDOWS = 4  # text windows a document gives to each length class
-CLASSES = (20, 28, 36, 48, 64, 96)  # least length of each length class
+CLASSES = (20, 28, 36, 48, 64, 96)  # least length of each length class, multiples of 4
+CHANGE = 1 << 20  # above twice any sum of a window's products, so both fit one number
+PIECE = 20160  # letters handled together: a multiple of every class's length, so no window is cut
 BINS_PER_UNIT, LAST_BIN = 4, 400
 RATE = 0.05  # bound on the expected share of false discoveries
 
@@ -89,6 +90,14 @@ def _total(values: Column, start: float = 0.0) -> Column:
     return F.aggregate(values, F.lit(start), lambda s, v: s + v)
 
 
+def _score(a: Column, n: Column, squares: Column, changes: Column, products: Column) -> Column:
+    """Sum of squared z-scores from the sums of squared symbol counts, changes of half, and neighbours' products."""
+    chi = F.greatest((a * squares / n - n - (a - 1)) / F.sqrt(2 * (a - 1) * (n - 1) / n), F.lit(0.0))
+    runs_z = (changes - (n - 1) / 2) / F.sqrt((n - 1) / 4)
+    serial = products / ((a * a - 1) / 12) / F.sqrt(n - 1)
+    return chi * chi + runs_z * runs_z + serial * serial
+
+
 def departure(runs: Column) -> Column:
     """For an array of structs (m: symbols, alphabet, ...) adds ``t``: sum of squared z-scores of the three tests."""
     def measured(x: Column) -> Column:
@@ -101,14 +110,11 @@ def departure(runs: Column) -> Column:
     def tested(y: Column) -> Column:
         a, n, v = y["a"], y["n"], y["v"]
         k = F.size(v) - 1
-        mean, var = (a - 1) / 2, (a * a - 1) / 12
+        mean = (a - 1) / 2
         first, second = F.slice(v, F.lit(1), k), F.slice(v, F.lit(2), k)
-        chi = (a * y["squares"] / n - n - (a - 1)) / F.sqrt(2 * (a - 1) * (n - 1) / n)
         changes = _total(F.zip_with(first, second, lambda p, q: F.when((p > mean) != (q > mean), 1.0).otherwise(0.0)))
-        runs_z = (changes - (n - 1) / 2) / F.sqrt((n - 1) / 4)
-        serial = _total(F.zip_with(first, second, lambda p, q: (p - mean) * (q - mean))) / var / F.sqrt(n - 1)
-        over = F.greatest(chi, F.lit(0.0))
-        return F.struct(y["x"].alias("x"), (over * over + runs_z * runs_z + serial * serial).alias("t"))
+        products = _total(F.zip_with(first, second, lambda p, q: (p - mean) * (q - mean)))
+        return F.struct(y["x"].alias("x"), _score(a, n, y["squares"], changes, products).alias("t"))
 
     return F.transform(F.transform(runs, measured), tested)
 
@@ -159,14 +165,12 @@ def _with_parts(piece: Column) -> Column:
 
 
 def scan(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFrame:
-    """``keep`` plus base (spans), runs (tested spans with length class and departure bin) and
-    background (class and bin of text windows)."""
+    """``keep`` plus base (spans) and runs (tested spans with length class and departure bin)."""
     df = docs.select(*keep, empty_if_null(text_col).alias("_text"))
     text = F.col("_text")
     df = df.withColumns({
         "_assign": _spans(text, ASSIGN, 0, 2, ASSIGN_LEAST), "_access": _spans(text, ACCESS, 1),
-        "_hex": _spans(text, HEX, 2), "_run": _spans(text, RUN, 3),
-        "_letters": F.lower(F.regexp_replace("_text", "[^A-Za-z]", "")), "_seed": F.xxhash64("_text")})
+        "_hex": _spans(text, HEX, 2), "_run": _spans(text, RUN, 3)})
     df = df.withColumn("base", F.array_sort(F.concat(_bare(F.col("_assign")), _bare(F.col("_access")), _bare(F.col("_hex")))))
     df = df.withColumn("_left", F.flatten(F.transform("_run", lambda r: _left_of(r, F.col("base")))))
     df = df.withColumn("_pieces", F.flatten(F.transform(F.filter(
@@ -182,34 +186,60 @@ def scan(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFra
 
     usable = F.filter(F.transform("_pieces", encoded), lambda r: (r["alphabet"] != "") & (F.length(r["m"]) >= CLASSES[0]))
     df = df.withColumn("_tested", departure(usable))
-    windows = []
-    for i, n in [(i, n) for i, n in enumerate(CLASSES) for _ in range(WINDOWS)]:
-        room = F.length("_letters") - n + 1
-        at = F.pmod(F.shiftrightunsigned("_seed", len(windows)), F.greatest(room, F.lit(1)).cast("long")).cast("int") + 1
-        windows.append(F.when(room > 0, F.array(F.struct(
-            F.substring("_letters", at, F.lit(n)).alias("m"), F.lit(LOWER).alias("alphabet"), F.lit(i).alias("cls")))
-        ).otherwise(F.array().cast("array<struct<m:string,alphabet:string,cls:int>>")))
-    df = df.withColumn("_windows", departure(F.concat(*windows)))
     return df.withColumns({
         "runs": F.transform("_tested", lambda y: F.struct(
             y["x"]["start"].alias("start"), y["x"]["end"].alias("end"),
             _class(F.length(y["x"]["m"])).alias("cls"), _bin(y["t"]).alias("bin"))),
-        "background": F.transform("_windows", lambda y: F.struct(y["x"]["cls"].alias("cls"), _bin(y["t"]).alias("bin"))),
-    }).drop("_assign", "_access", "_hex", "_run", "_left", "_pieces", "_letters", "_seed", "_tested", "_windows")
+    }).drop("_assign", "_access", "_hex", "_run", "_left", "_pieces", "_tested")
 
 
-def limits(scanned: DataFrame, rate: float = RATE) -> list[int]:
+def background(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """cls, bin, n: how many text windows of each length class depart how far, over all adjacent windows.
+
+    The same departure as ``departure`` gives, from sums shared by the classes:
+    products and changes of neighbours are added up once for every four letters.
+    """
+    letters = F.lower(F.regexp_replace(empty_if_null(text_col), "[^A-Za-z]+", ""))
+    df = docs.select(F.explode(F.regexp_extract_all(letters, F.lit(f"[a-z]{{1,{PIECE}}}"), F.lit(0))).alias("piece"))
+    df = df.where(F.length("piece") >= CLASSES[0])
+    # twice the distance from the middle letter, so that all sums are whole numbers
+    df = df.withColumn("v", F.transform(F.split("piece", ""), lambda c: F.ascii(c) * 2 - (2 * ord("a") + 25)))
+    # a neighbour's product, plus CHANGE where the two lie in different halves; the last letter has no neighbour
+    df = df.withColumn("p", F.zip_with("v", F.slice("v", F.lit(2), F.size("v")), lambda a, b: F.coalesce(
+        F.when(a * b < 0, a * b + CHANGE).otherwise(a * b), F.lit(0))))
+    df = df.withColumn("four", F.transform(F.sequence(F.lit(0), F.floor(F.size("p") / 4).cast("int") - 1), lambda k: (
+        F.get("p", k * 4) + F.get("p", k * 4 + 1) + F.get("p", k * 4 + 2) + F.get("p", k * 4 + 3))))
+
+    def windows(cls: int, n: int) -> Column:
+        last = F.greatest(F.floor(F.length("piece") / n).cast("int") - 1, F.lit(0))
+        products = F.transform(F.sequence(F.lit(0), last), lambda k: F.aggregate(
+            F.slice("four", k * (n // 4) + 1, F.lit(n // 4)), F.lit(0), lambda s, x: s + x) - F.get("p", k * n + (n - 1)))
+        found = F.zip_with(F.regexp_extract_all("piece", F.lit(f"[a-z]{{{n}}}"), F.lit(0)), products,
+                           lambda m, s: F.struct(F.lit(cls).alias("cls"), m.alias("m"), s.alias("s")))
+        return F.when(F.length("piece") >= n, found).otherwise(F.array().cast("array<struct<cls:int,m:string,s:int>>"))
+
+    df = df.select(F.explode(F.concat(*[windows(i, n) for i, n in enumerate(CLASSES)])).alias("x")).select("x.cls", "x.m", "x.s")
+    n, a, squares = F.length("m").cast("double"), float(len(LOWER)), F.lit(0)
+    for c in LOWER:
+        count = F.length("m") - F.length(F.replace("m", F.lit(c), F.lit("")))
+        squares = squares + count * count
+    changes = F.floor((F.col("s") + CHANGE // 2) / CHANGE)
+    t = _score(F.lit(a), n, squares.cast("double"), changes.cast("double"), (F.col("s") - changes * CHANGE) / 4.0)
+    return df.select("cls", _bin(t).alias("bin")).groupBy("cls", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+def limits(scanned: DataFrame, docs: DataFrame, text_col: str = "text", rate: float = RATE) -> list[int]:
     """Per length class the largest departure bin that counts as random (-1: none).
 
     Benjamini-Hochberg over all tested runs: with p(class, bin) the share of
     the class's text windows up to that bin, the cut is the largest p with
     p <= rate * (runs up to p) / (all runs).
     """
-    def histogram(col: str) -> dict:
-        one = scanned.select(F.explode(col).alias("x")).groupBy("x.cls", "x.bin").agg(F.count(F.lit(1)).alias("n"))
+    def histogram(one: DataFrame) -> dict:
         return {(r["cls"], r["bin"]): r["n"] for r in one.collect()}  # at most classes x bins rows
 
-    runs, text = histogram("runs"), histogram("background")
+    runs = histogram(scanned.select(F.explode("runs").alias("x")).groupBy("x.cls", "x.bin").agg(F.count(F.lit(1)).alias("n")))
+    text = histogram(background(docs, text_col)) if runs else {}
     p = {}
     for c in range(len(CLASSES)):
         total, up = sum(n for (k, _), n in text.items() if k == c), 0
@@ -243,7 +273,7 @@ def _joined(spans: str) -> Column:
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = RATE) -> DataFrame:
     """One row per document: counts of the base kinds, digest of the base spans, all spans."""
     scanned = materialize(scan(docs, [F.col(id_col).alias("doc_id")], text_col).drop("_text"), "secret_scan")
-    found = with_spans(scanned, limits(scanned, rate))
+    found = with_spans(scanned, limits(scanned, docs, text_col, rate))
     return found.select(
         "doc_id", *[_count(i).alias(f"n_{k}") for i, k in enumerate(KINDS[:3])], F.sha2(_joined("base"), 256).alias("base_sha256"),
         _joined("all_spans").alias("spans"))
@@ -268,7 +298,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked (n_chars, if there, counts the masked text)."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     scanned = materialize(scan(docs, [own]).drop("_text"), "secret_scan")  # the scan is dearer than writing the rows
-    found = with_spans(scanned, limits(scanned)).withColumn("_text", empty_if_null("_row.text"))
+    found = with_spans(scanned, limits(scanned, docs)).withColumn("_text", empty_if_null("_row.text"))
     hit = F.size("all_spans") > 0
     found = found.withColumn("_new", F.when(hit, redacted(F.col("_text"), F.col("all_spans"))))
     cols = []

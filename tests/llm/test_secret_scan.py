@@ -1,10 +1,11 @@
 import hashlib
+import math
 import random
 import string
 
 import brute
 
-from shiftwise.llm.secret_scan import secret_scan, stage
+from shiftwise.llm.secret_scan import CLASSES, background, secret_scan, stage
 
 
 def test_base_spans_match_brute_force(docs):
@@ -87,3 +88,39 @@ def test_stage_masks(spark, docs):
             assert r["text"].count("[SECRET]") <= 1 and r["n_chars"] == len(r["text"])
         elif k < 1000:
             assert r["text"] == before[k]
+
+
+def test_background_counts_every_adjacent_window(spark):
+    rng = random.Random(6)
+    texts = [None, "", "a" * 19, "Ab c" * 5, "".join(rng.choice("aabcdnxyzN ,é") for _ in range(60000)),
+             "".join(rng.choice(string.ascii_letters) for _ in range(20160))]
+    want = {}
+    for text in texts:
+        v = [ord(c) - ord("a") for c in (text or "").lower() if c in string.ascii_lowercase]
+        for cls, n in enumerate(CLASSES):
+            for at in range(0, len(v) - n + 1, n):
+                w = v[at:at + n]
+                chi = (26 * sum(w.count(x) ** 2 for x in set(w)) / n - n - 25) / math.sqrt(50 * (n - 1) / n)
+                runs = (sum((a > 12.5) != (b > 12.5) for a, b in zip(w, w[1:])) - (n - 1) / 2) / math.sqrt((n - 1) / 4)
+                serial = sum((a - 12.5) * (b - 12.5) for a, b in zip(w, w[1:])) / (675 / 12) / math.sqrt(n - 1)
+                k = (cls, min(int(4 * (max(chi, 0) ** 2 + runs ** 2 + serial ** 2)), 400))
+                want[k] = want.get(k, 0) + 1
+    got = background(spark.createDataFrame([(x,) for x in texts], "text string")).collect()
+    assert {(r["cls"], r["bin"]): r["n"] for r in got} == want
+
+
+def test_one_key_among_many_runs_of_few_long_documents(docs):
+    """Three texts give 12 windows of a class if each gives four: no p-value under 1/13, and nothing found."""
+    rng = random.Random(3)
+    names = ["the", "and", "house", "garden", "quiet", "morning", "walked", "through", "seven", "little", "people"]
+    rows = []
+    for i in range(3):
+        words = [rng.choice(names) for _ in range(30000)]
+        for at in range(0, 30000, 300):
+            words[at] = "-".join(rng.choice(names) for _ in range(9))
+        words[150] = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(96))
+        rows.append((i, " ".join(words)))
+    for r in secret_scan(docs(rows)).collect():
+        at = rows[r["doc_id"]][1].split(" ")[150]
+        start = rows[r["doc_id"]][1].index(at)
+        assert r["spans"] == f"random:{start}:{start + 96}", r["doc_id"]
