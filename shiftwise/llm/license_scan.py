@@ -10,7 +10,11 @@ on held-out unknown rows. The model (a vocabulary of bounded size) is broadcast
 and scores every paragraph of every whole text; a prediction counts only if the
 paragraph also shares enough of a template's word pairs.
 
-A paragraph is a non-empty line. Null or empty text has none; repeated rows are
+A paragraph is a non-empty line. A notice may be wrapped over lines or stand in
+a longer one, so besides each line the runs of words around a template's pairs
+are scored: windows of template length over the words of consecutive lines
+(blank lines end them, comment marks are no words). Every family that passes
+counts, at the line where its window starts. Null or empty text has none; repeated rows are
 scanned each; an empty table gives no rows, and then nothing but templates is
 trained on.
 """
@@ -89,6 +93,53 @@ def resemblance(found: set, family: str | None = None) -> float:
     return max(len(p & found) / len(p) for f, p in PAIRS if family in (None, f))
 
 
+#: Word pair -> templates that hold it, and each template's number of words.
+HOLDERS = {}
+for _i, (_, _p) in enumerate(PAIRS):
+    for _g in _p:
+        HOLDERS.setdefault(_g, []).append(_i)
+LENGTHS = [len(WORDS.findall(t.lower())) for _, t in TEMPLATES]
+
+
+def windows(words: list[str]) -> list[tuple]:
+    """(template, start, end) of the best window of each cluster of a template's word pairs.
+
+    A window is half as long again as its template, which leaves room for words
+    between; one with fewer pairs than CONFIRM asks for is not kept, nor one
+    that overlaps a window of another family which holds more of its template.
+    """
+    at = {}
+    for i, pair in enumerate(map(" ".join, zip(words, words[1:]))):
+        for k in HOLDERS.get(pair, ()):
+            at.setdefault(k, []).append((i, pair))
+    out = []
+    for k, hits in at.items():
+        least, room = CONFIRM * len(PAIRS[k][1]), LENGTHS[k] + LENGTHS[k] // 2
+        if len(hits) < least:
+            continue
+        inside, low, best = {}, 0, None
+        for i, pair in hits:
+            inside[pair] = inside.get(pair, 0) + 1
+            while hits[low][0] < i + 2 - room:
+                old = hits[low][1]
+                inside[old] -= 1
+                if not inside[old]:
+                    del inside[old]
+                low += 1
+            if best and hits[low][0] >= best[2]:  # a cluster of its own
+                out.append((best[0] / len(PAIRS[k][1]), k, best[1], best[2]))
+                best = None
+            if len(inside) >= least and (best is None or len(inside) > best[0]):
+                best = (len(inside), hits[low][0], i + 2)
+        if best:
+            out.append((best[0] / len(PAIRS[k][1]), k, best[1], best[2]))
+    kept = []
+    for _, k, start, end in sorted(out, key=lambda x: (-x[0], -len(PAIRS[x[1]][1]), *x[1:])):
+        if not any(start < e and s < end and PAIRS[k][0] != PAIRS[o][0] for o, s, e in kept):
+            kept.append((k, start, end))
+    return kept
+
+
 def variants(template: tuple, filler: list[str]) -> list[tuple]:
     """Seeded variants: some words dropped, ends cut, words of the corpus before and after."""
     family, text = template
@@ -178,27 +229,47 @@ OUT = ("doc_id long, n_paragraphs long, n_license long, family string, probabili
 
 def scan_text(text: str, model: Model) -> tuple:
     """Counts, the surest licence, all families, and the paragraphs found as number:family."""
-    n, found = 0, []
+    n, best_of, words, numbers = 0, {}, [], []
     names = (UNKNOWN, *FAMILIES)
-    known = model.weights
+
+    def score(w: list[str], line: int, family: str | None = None) -> None:
+        """Keeps a paragraph that the model and a template hold for a licence, of ``family`` if one is given."""
+        all_grams = list(dict.fromkeys([*w, *map(" ".join, zip(w, w[1:]))]))
+        p = model.probabilities(all_grams)
+        if p is None:
+            return
+        k = int(np.argmax(p[1:])) + 1
+        if family not in (None, names[k]) or not (1 - p[0] > model.threshold and p[k] > p[0]):
+            return
+        similar = resemblance(set(all_grams), names[k])
+        if similar >= CONFIRM:
+            one = (float(p[k]), similar, names[k], line)
+            best_of[line, names[k]] = max(best_of.get((line, names[k]), one), one)
+
+    def close() -> None:
+        for k, start, end in windows(words):
+            score(words[start:end], numbers[start], PAIRS[k][0])
+        words.clear()
+        numbers.clear()
+
     for line in text.split("\n"):
         if not line.strip():
+            close()
             continue
         n += 1
         w = WORDS.findall(line.lower())
-        if not any(x in known for x in w) and not any(f"{a} {b}" in known for a, b in zip(w, w[1:])):
+        if not w:  # a bare comment mark is a blank line inside a comment
             continue
-        all_grams = list(dict.fromkeys([*w, *map(" ".join, zip(w, w[1:]))]))
-        p = model.probabilities(all_grams)
-        k = int(np.argmax(p[1:])) + 1
-        if 1 - p[0] > model.threshold and p[k] > p[0]:
-            similar = resemblance(set(all_grams), names[k])
-            if similar >= CONFIRM:
-                found.append((float(p[k]), similar, names[k], n - 1))
+        words += w
+        numbers += [n - 1] * len(w)
+        if any(x in model.weights for x in w) or any(f"{a} {b}" in model.weights for a, b in zip(w, w[1:])):
+            score(w, n - 1)
+    close()
+    found = sorted(best_of.values(), key=lambda x: (x[3], x[2]))
     if not found:
         return n, 0, None, None, None, "", ""
     best = max(found, key=lambda x: (round(x[0], 6), x[1], x[2]))
-    return (n, len(found), best[2], round(best[0], 6), round(best[1], 6), ",".join(sorted({x[2] for x in found})),
+    return (n, len({x[3] for x in found}), best[2], round(best[0], 6), round(best[1], 6), ",".join(sorted({x[2] for x in found})),
             ",".join(f"{x[3]}:{x[2]}" for x in found))
 
 

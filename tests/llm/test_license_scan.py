@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 from shiftwise.llm.license_scan import FAMILIES, TEMPLATES, license_scan, variants
 
@@ -45,3 +46,22 @@ def test_planted_lines(spark):
 def test_empty_and_variants(docs):
     assert license_scan(docs([])).count() == 0
     assert variants(TEMPLATES[0], ["x"]) == variants(TEMPLATES[0], ["x"]) and "MIT" in FAMILIES
+
+
+def test_wrapped_notices_and_several_in_one_line(docs):
+    """Notices wrapped as licence files and headers are, with and without comment marks, and many in one long line."""
+    long = [(f, t) for f, t in TEMPLATES if len(t) > 100]
+    rows, want = [], {}
+    for i, (f, t) in enumerate(long):
+        for j, mark in enumerate(("", " * ", "# ")):
+            for k, width in enumerate((40, 72)):
+                doc = i * 100 + j * 10 + k
+                rows.append((doc, "plain words before it\n\n" + "\n".join(mark + x for x in textwrap.wrap(t, width)) + "\n\nthe end"))
+                want[doc] = f
+    filler = " the house stands on a hill near the old river and nobody lives there any more"
+    one = [TEMPLATES[0][1], TEMPLATES[4][1], TEMPLATES[10][1]]
+    rows.append((9000, filler * 20 + " " + (filler * 20 + " ").join(one) + filler * 20))
+    rows.append((9001, filler * 200))
+    got = {r["doc_id"]: r for r in license_scan(docs(rows)).collect()}
+    assert {k: got[k]["families"] for k in want} == want
+    assert got[9000]["families"] == "Apache-2.0,BSD-3-Clause,MIT" and got[9001]["families"] == ""
