@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftwise.llm import (html_text, license_scan, mixing, ngram_join, packing, quality, secret_scan, sharding,
+from shiftwise.llm import (fill_middle, html_text, license_scan, mixing, ngram_join, packing, quality, secret_scan, sharding,
                            suffix_dedup, vector_search)
 
 
@@ -22,8 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_radix_dedup": suffix_dedup.query,
         "op9_collision_counting": vector_search.query,
         "op10_prefix_filter_join": ngram_join.query,
+        "op11_wavelet_fill_middle": fill_middle.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_wavelet_fill_middle": fill_middle.SQL}
