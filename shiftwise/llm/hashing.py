@@ -137,22 +137,30 @@ def add_up(rows: DataFrame, parts: int, join=np.add, kind=np.uint32) -> np.ndarr
 MARK_BITS = 23
 
 
-def mark_bucket(values: np.ndarray) -> np.ndarray:
-    return (mix(values.astype(np.int64).view(np.uint64)) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+MOST_MARK_BITS = 28  # 32 MB, the largest filter that is broadcast
 
 
-def marked(rows: DataFrame, col: str) -> np.ndarray:
-    """A filter of fixed size (1 MB) over the values of a long column; it never misses a value."""
+def bits_for(values: int) -> int:
+    """Bits of a filter over so many values: one in 16 set or less, between 1 MB and 32 MB."""
+    return min(max(MARK_BITS, (16 * max(values, 1) - 1).bit_length()), MOST_MARK_BITS)
+
+
+def mark_bucket(values: np.ndarray, bits: int = MARK_BITS) -> np.ndarray:
+    return (mix(values.astype(np.int64).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def marked(rows: DataFrame, col: str, width: int = MARK_BITS) -> np.ndarray:
+    """A filter of ``width`` bits (:func:`bits_for`) over the values of a long column; it never misses a value."""
     def mark(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(1 << MARK_BITS, bool)
+        seen = np.zeros(1 << width, bool)
         for b in it:
-            seen[mark_bucket(b[col].to_numpy())] = True
+            seen[mark_bucket(b[col].to_numpy(), width)] = True
         yield sliced(np.packbits(seen), TaskContext.get().partitionId())
 
     bits = add_up(rows.select(col).mapInPandas(mark, SLICE), rows.rdd.getNumPartitions(), np.bitwise_or, np.uint8)
-    return bits if len(bits) else np.zeros((1 << MARK_BITS) // 8, np.uint8)
+    return bits if len(bits) else np.zeros((1 << width) // 8, np.uint8)
 
 
 def in_marks(values: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    at = mark_bucket(values)
+    at = mark_bucket(values, (8 * len(marks)).bit_length() - 1)
     return (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
