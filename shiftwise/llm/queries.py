@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftwise.llm import (decontaminate, fill_middle, html_text, license_scan, mixing, ngram_join, packing, quality, secret_scan, sharding,
+from shiftwise.llm import (decontaminate, fill_middle, hard_negatives, html_text, license_scan, mixing, ngram_join, packing, quality, secret_scan, sharding,
                            suffix_dedup, vector_search)
 
 
@@ -23,9 +23,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_collision_counting": vector_search.query,
         "op10_prefix_filter_join": ngram_join.query,
         "op11_wavelet_fill_middle": fill_middle.query,
+        "op12_inverted_multi_index": hard_negatives.query,
         "op13_prefix_containment": decontaminate.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_wavelet_fill_middle": fill_middle.SQL, "op13_prefix_containment": decontaminate.SQL}
+    return {
+        "op11_wavelet_fill_middle": fill_middle.SQL,
+        "op12_inverted_multi_index": hard_negatives.SQL,
+        "op13_prefix_containment": decontaminate.SQL,
+    }
