@@ -196,10 +196,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    voted = features(docs, [], "text").withColumn("votes", vote_columns())
-    model = fit(voted)
     feats = features(docs, [own], "text").withColumn("votes", vote_columns())
-    return judged(feats, model).where("kept").select("_row.*")
+    feats = materialize(feats, "quality_features")  # every vote is read several times: from a written column, not the whole expression
+    return judged(feats, fit(feats)).where("kept").select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,3 +61,22 @@ def test_empty_table(spark, docs):
     for name, stage in corpus_pipeline.STAGES:
         out = materialize(stage(spark, out, ""), f"empty_{name}")
         assert out.count() == 0
+
+
+def test_stages_return_small_plans(spark, docs):
+    """A plan that inlines its own columns over and over ends a driver of ordinary size on any input."""
+    out = docs([(i, f"some words of document number {i} " * 12, "en", f"s{i % 3}") for i in range(30)])
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, out, "")
+        assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 100_000, name
+        out = materialize(got, f"plan_{name}")
+
+
+def test_repeated_rows_take_part_once_each(spark, docs):
+    row = (1, "the same text in every row of this small table " * 8, "en", "s0")
+    out = docs([row] * 5 + [(None, None, None, None)] * 3)
+    sizes = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = materialize(stage(spark, out, ""), f"repeat_{name}")
+        sizes[name] = out.count()
+    assert sizes["quality_rules"] in (0, 5) and sizes["near_duplicates"] <= 1
