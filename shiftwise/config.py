@@ -57,16 +57,15 @@ class ForecastConfig:
     rolling_windows: tuple = ROLLING_WINDOWS
     holdout_weeks: int = 13
     ridge_alpha: float = 1.0
-    # MLlib boosting runs one Spark job chain per round; 2000 rounds at 0.01
-    # are not practical, so fewer rounds at a larger step are the default.
     gbt_rounds: int = 2000
     gbt_step: float = 0.01
     gbt_depth: int = 6
     gbt_min_instances: int = 5
     gbt_subsample: float = 0.8
-    gbt_feature_subset: str = "0.8"
+    gbt_column_share: float = 0.8
+    gbt_l2: float = 1.0
+    gbt_bins: int = 256
     fit_partitions: int = 16
-    gbt_max_bins: int = 64
     seed: int = 42
 
 

@@ -1,43 +1,42 @@
-"""Regression forecasts with Spark MLlib.
+"""Regression forecasts.
 
 * median imputation of the numeric features, fitted on the training rows
-  (exact interpolated median, as ``F.median``; MLlib's Imputer is approximate);
-* one-hot encoding of store, dept, type and holiday, where a value unseen in
-  training gives an all-zero block (StringIndexer "keep" bucket dropped by
-  OneHotEncoder's dropLast);
-* ridge regression (L2, unpenalized intercept, no standardization);
-* gradient-boosted trees on indexed categories.
-
-Fitting is distributed by MLlib; only fitted parameters (medians, label
-moments, model coefficients) reach the driver.
+  (exact interpolated median by distributed selection);
+* one-hot encoding of store, dept, type and holiday from a category dictionary,
+  where a value unseen in training sets nothing;
+* ridge regression (L2, unpenalized intercept, no standardization) by MLlib;
+* gradient-boosted trees (``boosting``).
+
+Only fitted parameters (medians, label moments, cuts, category counts, model
+coefficients and trees) reach the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftwise.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES, ForecastConfig
+from shiftwise.operators.boosting import BoostConfig, BoostedModel, fit_boosting, with_prediction
+from shiftwise.operators.categories import category_dictionary, dense, onehot
 from shiftwise.operators.forecast import score_model
+from shiftwise.operators.selection import column_medians
+from shiftwise.session import materialize
 
 RIDGE = "Ridge Regression"
 GBT = "Gradient Boosted Trees"
 
 
 def fit_medians(train: DataFrame, cols=NUMERIC_FEATURES) -> DataFrame:
-    """One row of per-column medians over the training rows.
-
-    The interpolated percentile: partial aggregation keeps a value -> count map
-    per column.
-    """
-    return train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols])
+    """One row of per-column medians over the training rows."""
+    return column_medians(train, cols)
 
 
 def impute(df: DataFrame, medians: dict, cols=NUMERIC_FEATURES) -> DataFrame:
@@ -55,6 +54,11 @@ class Prepared:
     holdout: DataFrame
     medians: dict
 
+    @cached_property
+    def dictionary(self) -> DataFrame:
+        """The training rows' categories, written once: every row is joined to them."""
+        return materialize(category_dictionary(self.train, CATEGORICAL_FEATURES), "categories")
+
 
 def spread(df: DataFrame, partitions: int) -> DataFrame:
     """Rows in a fixed number of hash partitions by series, sorted inside each, so
@@ -79,18 +83,10 @@ def _indexers():
                           handleInvalid="keep", stringOrderType="alphabetAsc")]
 
 
-def onehot_pipeline() -> Pipeline:
-    enc = OneHotEncoder(inputCols=[f"{c}_idx" for c in CATEGORICAL_FEATURES],
-                        outputCols=[f"{c}_vec" for c in CATEGORICAL_FEATURES], dropLast=True)
-    return Pipeline(stages=[*_indexers(), enc])
-
-
 def onehot_features(p: Prepared) -> DataFrame:
-    """Holdout rows with the one-hot block as an array (unseen values -> zeros)."""
-    model = onehot_pipeline().fit(p.train)
-    asm = VectorAssembler(inputCols=[f"{c}_vec" for c in CATEGORICAL_FEATURES], outputCol="onehot")
-    out = asm.transform(model.transform(p.holdout))
-    return out.select("store", "dept", "date", vector_to_array("onehot").alias("onehot"))
+    """Holdout rows with the one-hot block, sparse (size, indices) and as an array (unseen values -> zeros)."""
+    out = onehot(p.holdout, p.dictionary, CATEGORICAL_FEATURES)
+    return out.select("store", "dept", "date", "onehot_size", "onehot_indices", dense().alias("onehot"))
 
 
 def ridge_pipeline(train: DataFrame, cfg: ForecastConfig = ForecastConfig(),
@@ -116,20 +112,14 @@ def ridge_pipeline(train: DataFrame, cfg: ForecastConfig = ForecastConfig(),
     return Pipeline(stages=[*_indexers(), enc, asm, lr])
 
 
-def gbt_pipeline(train: DataFrame, cfg: ForecastConfig = ForecastConfig(), label: str = "weekly_sales") -> Pipeline:
-    """Trees split a category only if it has a bin of its own: as many bins as the
-    largest category count, its unseen slot included, and ``gbt_max_bins`` at least."""
-    counts = train.agg(*[F.count_distinct(f"{c}_cat").alias(c) for c in CATEGORICAL_FEATURES]).first()
-    bins = max([cfg.gbt_max_bins, *(n + 2 for n in counts)])
-    asm = VectorAssembler(inputCols=[*IMPUTED, *[f"{c}_idx" for c in CATEGORICAL_FEATURES]],
-                          outputCol="features")
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
-                       maxIter=cfg.gbt_rounds, stepSize=cfg.gbt_step, maxDepth=cfg.gbt_depth,
-                       minInstancesPerNode=cfg.gbt_min_instances,
-                       subsamplingRate=cfg.gbt_subsample,
-                       featureSubsetStrategy=cfg.gbt_feature_subset, maxBins=bins,
-                       seed=cfg.seed, lossType="squared")
-    return Pipeline(stages=[*_indexers(), asm, gbt])
+def boost_config(cfg: ForecastConfig = ForecastConfig()) -> BoostConfig:
+    return BoostConfig(rounds=cfg.gbt_rounds, step=cfg.gbt_step, depth=cfg.gbt_depth, min_weight=cfg.gbt_min_instances,
+                       row_share=cfg.gbt_subsample, column_share=cfg.gbt_column_share, l2=cfg.gbt_l2, bins=cfg.gbt_bins,
+                       seed=cfg.seed)
+
+
+def fit_gbt(p: Prepared, cfg: ForecastConfig = ForecastConfig(), label: str = "weekly_sales") -> BoostedModel:
+    return fit_boosting(p.train, IMPUTED, CATEGORICAL_FEATURES, p.dictionary, label, ["store", "dept", "date"], boost_config(cfg))
 
 
 def fit(pipeline: Pipeline, train: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> PipelineModel:
@@ -151,4 +141,4 @@ def ridge_forecast(p: Prepared, cfg: ForecastConfig = ForecastConfig()) -> DataF
 
 
 def gbt_forecast(p: Prepared, cfg: ForecastConfig = ForecastConfig()) -> DataFrame:
-    return forecast_with(fit(gbt_pipeline(p.train, cfg), p.train, cfg), p.holdout, GBT)
+    return score_model(with_prediction(fit_gbt(p, cfg), p.holdout, p.dictionary), GBT, "prediction")

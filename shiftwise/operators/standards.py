@@ -7,18 +7,21 @@ from pyspark.sql import functions as F
 
 from shiftwise.config import LaborConfig
 from shiftwise.functions.columns import cap_at_zero
+from shiftwise.operators.selection import medians
+from shiftwise.session import materialize
 
 
 def dept_stats(sales: DataFrame, value: str = "weekly_sales") -> DataFrame:
     """Exact (interpolated) median and mean of capped weekly sales per department.
 
-    The median is an exact percentile: partial aggregation keeps a value->count
-    map per task, so a department's rows never need to sit in one place; its
-    size is bounded by the distinct weekly values of that department.
+    The median comes from distributed selection, so no task holds a whole
+    department's values; a department without any value has a NULL median.
     """
     capped = sales.select("dept", cap_at_zero(value).alias("v"))
-    return capped.groupBy("dept").agg(F.median("v").alias("median_weekly_sales"),
-                                      F.avg("v").alias("avg_weekly_sales"))
+    middle = medians(capped, ["dept"], "v", "median_weekly_sales").withColumnRenamed("dept", "_dept")
+    means = capped.groupBy("dept").agg(F.avg("v").alias("avg_weekly_sales"))
+    return means.join(middle, F.col("dept").eqNullSafe(F.col("_dept")), "left").select(
+        "dept", "median_weekly_sales", "avg_weekly_sales")
 
 
 def volume_cutoffs(stats: DataFrame, cfg: LaborConfig = LaborConfig()) -> DataFrame:
@@ -30,7 +33,7 @@ def volume_cutoffs(stats: DataFrame, cfg: LaborConfig = LaborConfig()) -> DataFr
 
 def labor_standards(sales: DataFrame, cfg: LaborConfig = LaborConfig(),
                     keep_stats: bool = False) -> DataFrame:
-    stats = dept_stats(sales)
+    stats = materialize(dept_stats(sales), "dept_stats")  # one row per department, read three times
     cut = volume_cutoffs(stats, cfg)
     low = cut.select("low_cutoff").scalar()
     high = cut.select("high_cutoff").scalar()

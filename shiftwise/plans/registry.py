@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftwise.config import (EXTERNAL_COLS, ForecastConfig, LAGS, MARKDOWN_COLS, NUMERIC_FEATURES,
+from shiftwise.config import (CATEGORICAL_FEATURES, EXTERNAL_COLS, ForecastConfig, LAGS, MARKDOWN_COLS, NUMERIC_FEATURES,
                               REQUIRED_MODEL_COLS)
 from shiftwise.functions.columns import bool_to_int, slug
 from shiftwise.operators import dashboard, evaluate, mart, models, questions, rollups, validate
@@ -343,7 +343,26 @@ register("validate_unmatched", lambda w: validate.unmatched_rows(w.mart),
 register("impute_median", lambda w: models.fit_medians(w.split.train),
          "SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in NUMERIC_FEATURES)
          + " FROM train", {c: 6 for c in NUMERIC_FEATURES}, ops="M4")
-register("onehot_holdout", lambda w: models.onehot_features(w.prepared), None, ops="M5 M6")
+def _onehot(w):
+    rows = models.onehot_features(w.prepared)
+    return rows.select(*KEYS, F.col("onehot_size").cast("long").alias("onehot_size"),
+                       F.array_join("onehot_indices", ",").alias("onehot_indices"))
+
+
+def _onehot_sql() -> str:
+    """Places of the ones: a category's rank within its column, after the columns before it."""
+    values = {c: f"CAST({c} AS VARCHAR)" for c in CATEGORICAL_FEATURES}
+    counted = {c: f"(SELECT count(DISTINCT {v}) FROM train)" for c, v in values.items()}
+    places, before = [], "0"
+    for c, v in values.items():
+        rank = f"(SELECT count(DISTINCT {v}) FROM train t WHERE CAST(t.{c} AS VARCHAR) < CAST(h.{c} AS VARCHAR))"
+        places.append(f"CASE WHEN CAST(h.{c} AS VARCHAR) IN (SELECT {v} FROM train) THEN {before} + {rank} END")
+        before += f" + {counted[c]}"
+    return (f"SELECT store, dept, date, CAST({before} AS BIGINT) AS onehot_size, "
+            f"concat_ws(',', {', '.join(places)}) AS onehot_indices FROM holdout h")
+
+
+register("onehot_holdout", _onehot, _onehot_sql(), ops="M5 M6")
 register("forecast_ridge", lambda w: w.ridge_forecasts, None, ops="M6 M7 M9 M10")
 register("forecast_gbt_60_rounds", lambda w: w.gbt_forecasts, None, ops="M8 M9 M10")
 register("model_metrics_ml", lambda w: w.model_metrics, None, ops="M11 M13 M14")
