@@ -34,8 +34,9 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, fcfg: ForecastConfig = ForecastConfig(),
                  lcfg: LaborConfig = LaborConfig(), mcfg: MartConfig = MartConfig(),
                  mart_model: str | None = None, persist: bool = False,
-                 materialize_inputs: bool = True, dept_grain: str = "type"):
-        self.spark, self.sf_dir = spark, sf_dir
+                 materialize_inputs: bool = True, dept_grain: str = "type", inputs=None):
+        """``inputs`` brings its own sales, stores, features and test (e.g. ``CsvInputs``) in place of the derived ones."""
+        self.spark, self.sf_dir, self.inputs = spark, sf_dir, inputs
         self.dept_grain = dept_grain
         self.fcfg, self.lcfg, self.mcfg = fcfg, lcfg, mcfg
         self.mart_model = mart_model
@@ -54,19 +55,21 @@ class Workspace:
     # inputs ---------------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:
-        return self._stage(fixtures.derive_sales(self.spark, self.sf_dir, self.dept_grain), "sales")
+        own = self.inputs.sales() if self.inputs else fixtures.derive_sales(self.spark, self.sf_dir, self.dept_grain)
+        return self._stage(own, "sales")
 
     @cached_property
     def stores(self) -> DataFrame:
-        return fixtures.derive_stores(self.spark, self.sf_dir)
+        return self.inputs.stores() if self.inputs else fixtures.derive_stores(self.spark, self.sf_dir)
 
     @cached_property
     def features(self) -> DataFrame:
-        return self._stage(fixtures.derive_features(self.spark, self.sf_dir), "features")
+        own = self.inputs.features() if self.inputs else fixtures.derive_features(self.spark, self.sf_dir)
+        return self._stage(own, "features")
 
     @cached_property
     def test(self) -> DataFrame:
-        return fixtures.derive_test(self.sales, self.fcfg.holdout_weeks)
+        return self.inputs.test() if self.inputs else fixtures.derive_test(self.sales, self.fcfg.holdout_weeks)
 
     # modeling -------------------------------------------------------------
     @cached_property

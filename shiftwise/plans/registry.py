@@ -22,11 +22,12 @@ from shiftwise.operators import dashboard, evaluate, mart, models, questions, ro
 from shiftwise.operators.prepare import join_inputs
 from shiftwise.operators.split import split_summary
 from shiftwise.operators.standards import dept_stats, volume_cutoffs
-from shiftwise.plans import sql_api
+from shiftwise.plans import load, sql_api
 from shiftwise.plans.oracle import with_ctes
 from shiftwise.plans.pipeline import Workspace
 from shiftwise.session import run_folder
-from shiftwise.sources import files, schemas
+from shiftwise.sources import files, loader, schemas
+from shiftwise.sources.csv_inputs import CsvInputs, RejectedRows, write_inputs
 from shiftwise.sources.fixtures import DEPT_BY_TYPE
 
 
@@ -169,7 +170,7 @@ register("normalize_bool", lambda w: w.mart_forecast.select(
 register("dept_stats", lambda w: dept_stats(w.sales), "SELECT * FROM dept_stats",
          {"median_weekly_sales": 6, "avg_weekly_sales": 6}, ops="G1 L1")
 register("volume_cutoffs", lambda w: volume_cutoffs(dept_stats(w.sales), w.lcfg),
-         "SELECT * FROM cutoffs", {"low_cutoff": 6, "high_cutoff": 6}, ops="G2")
+         "SELECT * FROM cutoffs", {"low_cutoff": 8, "high_cutoff": 8}, ops="G2")
 register("labor_standards", lambda w: w.labor_standards, "SELECT * FROM standards", ops="L2 L3 L4")
 register("labor_schedule", lambda w: w.schedule, "SELECT * FROM schedule", ops="L5-L14 D3")
 
@@ -381,6 +382,96 @@ register("src_csv_roundtrip", _csv_roundtrip,
          "SELECT store, dept, date, weekly_sales, is_holiday AS isholiday FROM sales", ops="A1 A2 B1")
 
 
+def _csv_start(w):
+    """The pipeline from CSV files: the derived inputs written out, and a second run that knows only the files."""
+    folder = f"{run_folder(w.spark, w.run_id)}/csv_inputs"
+    write_inputs(folder, w.sales, w.features, w.stores, w.test)
+    # derived keys may be NULL (lines of unknown parts), which a strict file would not hold
+    return Workspace(w.spark, w.sf_dir, w.fcfg, inputs=CsvInputs(w.spark, folder, keys_required=False))
+
+
+register("csv_start_mart", lambda w: _csv_start(w).mart, "SELECT * FROM mart", ops="A1 A2")
+
+
+def _built(w) -> str:
+    """A schema of this run's own with the nine loaded tables and the four views."""
+    at, database = run_folder(w.spark, w.run_id), f"shiftwise_{w.run_id}"
+    load.write_load_files(w, f"{at}/files")
+    load.build_schema(w.spark, f"{at}/files", database, f"{at}/tables")
+    return database
+
+
+def _reloaded_counts(w):
+    """Row counts of the loaded tables after one was loaded again from a changed file, and once more from a bad one."""
+    database, at = _built(w), run_folder(w.spark, w.run_id)
+    sales = loader.TABLE_SPECS[0]
+    header = w.sales.select(F.col("store").alias("Store"), F.col("dept").alias("Dept"), F.col("date").alias("Date"),
+                            F.col("weekly_sales").alias("Weekly_Sales"), F.col("is_holiday").alias("IsHoliday"))
+    files.write_csv(header.where("IsHoliday"), f"{at}/changed/train.csv")
+    loader.load_csv(w.spark, sales, f"{at}/changed", database, f"{at}/tables")
+    files.write_csv(header.withColumn("Weekly_Sales", F.lit("much")), f"{at}/bad/train.csv")
+    try:
+        loader.load_csv(w.spark, sales, f"{at}/bad", database, f"{at}/tables")
+    except RejectedRows:
+        pass  # the table stays as the changed file left it
+    return validate.row_counts({s.name: w.spark.table(f"`{database}`.`{s.name}`") for s in loader.TABLE_SPECS})
+
+
+register("load_tables_replace", _reloaded_counts,
+         """SELECT 'raw_train_sales' AS table_name, count(*) AS row_count FROM sales WHERE is_holiday
+            UNION ALL SELECT 'raw_features', count(*) FROM features
+            UNION ALL SELECT 'raw_stores', count(*) FROM stores
+            UNION ALL SELECT 'raw_test_sales', count(*) FROM test_keys
+            UNION ALL SELECT 'analytics_forecast_output', count(*) FROM mart_forecast
+            UNION ALL SELECT 'analytics_model_comparison', count(*) FROM metrics
+            UNION ALL SELECT 'analytics_model_metrics', count(*) FROM metrics
+            UNION ALL SELECT 'analytics_labor_standards', count(*) FROM standards
+            UNION ALL SELECT 'analytics_simulated_schedule', count(*) FROM schedule""", ops="A5 A6 B2")
+_VIEW_TOTALS = {"mart_workforce_dashboard": "site_readiness_score", "mart_store_week_summary": "required_labor_hours",
+                "mart_forecast_accuracy_summary": "abs_forecast_error", "mart_top_at_risk_store_depts": "estimated_overtime_cost"}
+
+
+def _views_by_name(w):
+    """All four views, read by name in a second session."""
+    database, other = _built(w), w.spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    return other.sql(" UNION ALL ".join(f"SELECT '{v}' AS view_name, COUNT(*) AS row_count, SUM({c}) AS total FROM `{database}`.`{v}`"
+                                        for v, c in _VIEW_TOTALS.items()))
+
+
+def _views_sql() -> str:
+    summaries = {"mart_workforce_dashboard": "SELECT * FROM mart", "mart_store_week_summary": _REGISTRY["mart_store_week"].sql,
+                 "mart_forecast_accuracy_summary": _REGISTRY["mart_accuracy_summary"].sql,
+                 "mart_top_at_risk_store_depts": _AT_RISK_SQL}
+    return " UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS row_count, sum({c}) AS total FROM ({summaries[v]}) x"
+                              for v, c in _VIEW_TOTALS.items())
+
+
+register("catalog_views", _views_by_name, _views_sql(), {"total": 4}, ops="A7 A9")
+
+
+def _store_week_view(w):
+    other = w.spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    return other.table(f"`{_built(w)}`.`mart_store_week_summary`")
+
+
+register("view_store_week", _store_week_view, _REGISTRY["mart_store_week"].sql, _sw, ops="A7 K1")
+
+
+def _files_by_model(w):
+    """Both models' folders, after one model alone was written again."""
+    path = f"{run_folder(w.spark, w.run_id)}/by_model"
+    files.write_per_model(w.naive_forecasts, path)
+    files.write_per_model(w.naive_forecasts.where("model_name = 'Rolling Mean' and is_holiday"), path)
+    return w.spark.read.parquet(path).groupBy("model_slug", "model_name").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+register("forecast_files_by_model", _files_by_model,
+         """SELECT lower(regexp_replace(model_name, '[ -]', '_', 'g')) AS model_slug, model_name, count(*) AS row_count
+            FROM forecasts WHERE model_name <> 'Rolling Mean' OR is_holiday GROUP BY model_name""", ops="A3")
+
+
 def _sql_trend(w):
     return sql_api.sql(w, sql_api.WEEKLY_TREND_SQL)
 

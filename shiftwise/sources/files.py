@@ -49,10 +49,12 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def write_per_model(forecasts: DataFrame, path: str, fmt: str = "parquet") -> None:
     """One output folder per model: ``model_slug=<lower_snake_name>/``.
 
-    A single partitioned write instead of a driver loop over models.
+    A single partitioned write instead of a driver loop over models. Only the
+    folders of the models in ``forecasts`` are replaced; those of models from
+    other runs stay.
     """
     out = forecasts.withColumn("model_slug", slug("model_name"))
-    w = out.write.mode("overwrite").partitionBy("model_slug")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model_slug")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

@@ -30,3 +30,11 @@ SCHEDULE = _s(("store", IntegerType()), ("dept", IntegerType()), ("date", DateTy
 MODEL_COMPARISON = _s(("model_name", StringType()), ("holdout_start", DateType()),
                       ("holdout_end", DateType()), ("holdout_rows", LongType()),
                       ("mae", DoubleType()), ("wape", DoubleType()))
+FORECAST = _s(("model_name", StringType()), ("store", IntegerType()), ("dept", IntegerType()), ("date", DateType()),
+              ("store_type", StringType()), ("store_size", IntegerType()), ("is_holiday", BooleanType()),
+              ("actual_weekly_sales", DoubleType()), ("forecast_weekly_sales", DoubleType()),
+              ("forecast_error", DoubleType()), ("abs_forecast_error", DoubleType()),
+              ("forecast_variance_pct", DoubleType()), ("temperature", DoubleType()), ("fuel_price", DoubleType()),
+              ("cpi", DoubleType()), ("unemployment", DoubleType()), ("markdown1", DoubleType()),
+              ("markdown2", DoubleType()), ("markdown3", DoubleType()), ("markdown4", DoubleType()),
+              ("markdown5", DoubleType()), ("rolling_4_mean", DoubleType()), ("rolling_13_mean", DoubleType()))
