@@ -447,7 +447,7 @@ def _views_sql() -> str:
                               for v, c in _VIEW_TOTALS.items())
 
 
-register("catalog_views", _views_by_name, _views_sql(), {"total": 4}, ops="A7 A9")
+register("catalog_views", _views_by_name, _views_sql(), {"total": 6}, ops="A7 A9")
 
 
 def _store_week_view(w):
