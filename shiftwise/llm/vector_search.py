@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from shiftwise.llm.common import table
 
 K = 20
-FUNCTIONS = 96
-THRESHOLD = 0.5  # share of the functions a vector must collide under
-VERIFY = 0.12  # share of a block that is verified at least
-WIDEN = 1.35
-DATA_BLOCK, QUERY_BLOCK = 8192, 2048
+FUNCTIONS = 40
+THRESHOLD = 0.65  # share of the functions a vector must collide under
+VERIFY = 0.3  # share of a block that is verified at least
+WIDEN = 1.5
+DATA_BLOCK, QUERY_BLOCK = 8192, 4096
 SEED = 29
 
 

@@ -81,4 +81,4 @@ def test_recall_on_unstructured_vectors():
         s = x @ x[i]
         s[i] = -np.inf
         hits += len(set(np.argsort(-s)[:20]) & set(got[got["query_id"] == i]["vec_id"]))
-    assert hits >= 0.8 * 20 * len(asked)  # 0.85 measured; the registered table reaches 0.9
+    assert hits >= 0.9 * 20 * len(asked)
