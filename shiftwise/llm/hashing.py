@@ -100,8 +100,8 @@ SLICES = 64
 FAN = 64
 
 
-def bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+def bucket(h: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
 SLICE = "part long, slice int, counts binary"

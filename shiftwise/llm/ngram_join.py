@@ -3,7 +3,8 @@
 A document's set holds the hashes of its distinct five-word shingles. Texts
 with equal sets form a class, and only classes are joined. One total order
 holds for all shingles: by how often their hash bucket occurs in the whole
-corpus (a count sketch of fixed size), rarest first, then by hash. Two sets
+corpus (a count sketch that grows with it, 64 MB at most), rarest first, then
+by hash. Two sets
 with Jaccard >= t must share a shingle among the first n - ceil(t n) + 1 of
 each (prefix filter), so only those are shuffled, joined, and filtered:
 
@@ -28,6 +29,7 @@ fall into one class. A component's id is its smallest doc_id (null if none).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,11 +40,13 @@ from pyspark.sql import functions as F
 from shiftwise.llm.common import WORD, table
 from shiftwise.llm.hashing import (SKETCH_BITS, SLICE, add_up, bucket, in_marks, in_parts, marked, mix, shingle_sets,
                                    sliced)
-from shiftwise.session import materialize
+from shiftwise.session import materialize, remove_folder, run_folder
 
 WORDS = 5
 PERCENT = 75
 STAR_ROUNDS = 2
+MOST_SKETCH_BITS = 25  # 64 MB, the largest sketch that is broadcast
+MOST_COUNT = 65535
 
 
 def class_key(hashes: np.ndarray) -> int:
@@ -56,33 +60,45 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def sketch_bits(text_bytes: int) -> int:
+    """Buckets for a corpus of so many bytes: one for about 16 shingles (a word is some 6 bytes), 2**22 to 2**25."""
+    return min(max(SKETCH_BITS, (text_bytes // 96).bit_length()), MOST_SKETCH_BITS)
+
+
+def _capped(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.minimum(a.astype(np.uint32) + b, MOST_COUNT).astype(np.uint16)
+
+
 def shingle_sketch(texts: DataFrame, size: int) -> np.ndarray:
-    """Occurrences (documents) per hash bucket over the whole corpus."""
+    """Occurrences (documents, up to MOST_COUNT) per hash bucket over the whole corpus."""
     from pyspark import TaskContext
 
+    bits = sketch_bits(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+
     def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << SKETCH_BITS, np.uint32)
+        total = np.zeros(1 << bits, np.uint16)
         for b in it:
             for part in in_parts(b["text"].tolist()):
-                h = np.concatenate(shingle_sets(part, size))
-                np.add.at(total, bucket(h), np.uint32(1))
+                at, n = np.unique(bucket(np.concatenate(shingle_sets(part, size)), bits), return_counts=True)
+                total[at] = _capped(total[at], n)
         yield sliced(total, TaskContext.get().partitionId())
 
-    counts = add_up(texts.select("text").mapInPandas(count, SLICE), texts.rdd.getNumPartitions())
-    return counts if len(counts) else np.zeros(1 << SKETCH_BITS, np.uint32)
+    counts = add_up(texts.select("text").mapInPandas(count, SLICE), texts.rdd.getNumPartitions(), _capped, np.uint16)
+    return counts if len(counts) else np.zeros(1 << bits, np.uint16)
 
 
 def prefixes(texts: DataFrame, sketch, size: int, percent: int) -> DataFrame:
     """(doc_id, key, cls, n_shingles, prefix): one row per document; ``sketch`` is the broadcast count sketch."""
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = sketch.value
+        bits = len(counts).bit_length() - 1
         for b in it:
             cls, n, firsts = [], [], []
             for part in in_parts(b["text"].tolist()):
                 for h in shingle_sets(part, size):
                     n.append(len(h))
                     cls.append(class_key(h) if len(h) else None)
-                    order = np.lexsort((h, counts[bucket(h)]))[: prefix_length(len(h), percent)] if len(h) else []
+                    order = np.lexsort((h, counts[bucket(h, bits)]))[: prefix_length(len(h), percent)] if len(h) else []
                     firsts.append(h[order].astype(np.int64) if len(h) else np.zeros(0, np.int64))
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "key": b["key"], "cls": pd.array(cls, "Int64"),
                                 "n_shingles": n, "prefix": firsts})
@@ -220,15 +236,18 @@ def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple
     """
     spark = texts.sparkSession
     sketch = spark.sparkContext.broadcast(shingle_sketch(texts, size))
-    docs = materialize(prefixes(texts, sketch, size, percent), "join_docs")
-    classes = materialize(
-        docs.where("cls is not null").groupBy("cls").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")), "join_classes")
-    entries = classes.select("cls", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "h"))
-    shared = entries.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("df > 1").drop("df")
-    shared = materialize(shared, "join_shared")
-    rich = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("rich"))
-    lists = materialize(shared.join(rich, "cls").select("h", "cls", "n", "pos", "rich"), "join_lists")
+    first_run = uuid.uuid4().hex
+    long_rows = materialize(prefixes(texts, sketch, size, percent), "join_prefixes", first_run)
+    docs = materialize(long_rows.drop("prefix"), "join_docs")
+    wordy = long_rows.where("cls is not null")
+    classes = materialize(wordy.groupBy("cls").agg(F.min("doc_id").alias("rep")), "join_classes")
+    firsts = wordy.groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+    entries = firsts.select("cls", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "h"))
+    # counted apart from the entries: a frequent shingle's list may be long, and the semi join can split it
+    often = entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h")
+    shared = entries.join(often, "h", "left_semi")
+    lists = materialize(shared.withColumn("rich", F.count(F.lit(1)).over(Window.partitionBy("cls"))), "join_lists")
+    remove_folder(spark, run_folder(spark, first_run))  # the prefixes live on in the lists
     labels = links = tried = None
     for step in range(STAR_ROUNDS + 1):
         here = lists.withColumn("comp", F.col("cls")) if labels is None else (
@@ -238,8 +257,10 @@ def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple
         if not pairs.limit(1).count():
             continue
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        sets = materialize(whole_sets(texts, materialize(wanted, "join_wanted"), size), "join_sets")
+        step_run = uuid.uuid4().hex
+        sets = materialize(whole_sets(texts, materialize(wanted, "join_wanted"), size), "join_sets", step_run)
         new = materialize(verified(pairs, sets, percent), "join_links")
+        remove_folder(spark, run_folder(spark, step_run))
         tried = pairs if tried is None else tried.union(pairs)
         links = new if links is None else links.union(new)
         found = new.limit(1).count()
@@ -252,7 +273,7 @@ def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple
         named = named.join(ids, "comp").select("cls", "component_id")
     else:
         named = named.select("cls", F.col("rep").alias("component_id"))
-    return docs.drop("prefix"), materialize(named, "join_components")
+    return docs, materialize(named, "join_components")
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
