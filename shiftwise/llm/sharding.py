@@ -5,6 +5,10 @@ Several metadata dimensions (source, language, size, id) are quantised to
 curve, rows are put in curve order and cut into runs. A filter on any of the
 dimensions then touches few shards. Law ``rows``: counts differ by one at most.
 
+Rows of equal text form a group and stand together, at the curve place of the
+group's first row; only where a cut falls inside a group (one of ``shards - 1``
+cuts) does it lie in two shards, or in more if it is larger than a shard.
+
 Only DataFrame expressions run. Null dimensions take cell 0; null text has no
 bytes; an empty table gives no rows; repeated rows are rows of their own.
 """
@@ -107,7 +111,8 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = 5, id_col: str
     base = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.octet_length(empty_if_null(text_col)) + OVERHEAD).cast("long").alias("size"),
-        text_crc32(text_col).alias("text_crc32"), *text_dims)
+        text_crc32(text_col).alias("text_crc32"),
+        *[F.xxhash64(F.lit(seed), empty_if_null(text_col)).alias(f"group{seed}") for seed in (1, 2)], *text_dims)
     base = materialize(base, "shard_rows")
     cells = numeric_cells(base, ["size", "doc_id"], bits)
     for dim in text_dims:
@@ -116,10 +121,14 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = 5, id_col: str
                          F.col(dim).eqNullSafe(F.col(f"value_{dim}")), "left")
     index = hilbert_index([*[F.coalesce(F.col(f"cell_{d}"), F.lit(0)) for d in text_dims],
                            cells["size"], cells["doc_id"]], bits)
-    placed = base.select("doc_id", "size", "text_crc32", index.alias("curve"))
+    group = ["group1", "group2"]
+    own = materialize(base.select("doc_id", "size", "text_crc32", *group, index.alias("own")), "shard_curve")
+    # only texts that come more than once; a hot one is one row here, and its copies are split by the skew join
+    first = own.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "own")).alias("first"))
+    first = first.where("n > 1").select(*group, F.col("first.own").alias("shared"))
+    placed = own.join(first, group, "left").withColumn("curve", F.coalesce("shared", "own")).drop("own", "shared")
     n = base.count()
-    ranked = global_rank(placed, [F.col("curve"), F.col("doc_id").asc_nulls_first(), F.col("text_crc32")],
-                         partitions_for(n), "shard")
+    ranked = global_rank(placed, [F.col("curve"), *group, F.col("doc_id").asc_nulls_first()], partitions_for(n), "shard")
     # the first n % shards shards hold one row more
     small, more = divmod(n, shards)
     edge = more * (small + 1)

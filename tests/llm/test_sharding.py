@@ -44,3 +44,23 @@ def test_curve_prunes_every_dimension(docs):
     got = hilbert_shards(docs(rows), shards=16).join(docs(rows).select("doc_id", "source"), "doc_id").collect()
     touched = [len({r["shard"] for r in got if r["source"] == f"s{k}"}) for k in range(8)]
     assert sum(touched) / 8 < 12  # a random layout touches all 16
+
+
+def test_equal_texts_stand_together(docs):
+    rng = random.Random(5)
+    rows = [(i, f"text {i}" if i % 3 else f"copy {rng.randrange(40)}", rng.choice(["en", "de"]), rng.choice("abcd")) for i in range(600)]
+    rows += [(1000 + i, "hot", "en", "abcd"[i % 4]) for i in range(120)] + [(None, None, None, None), (2000, "", "en", "a")]
+    text = dict((r[0], r[1] or "") for r in rows)
+    got = hilbert_shards(docs(rows), shards=12).collect()
+    where = {}
+    for r in got:
+        where.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+    assert sum(len(v) - 1 for v in where.values()) <= 11
+    assert len(where["hot"]) <= 4  # 120 rows in shards of 60
+    place = {}
+    for r in sorted(got, key=lambda r: (r["shard"], r["slot"])):
+        place.setdefault(text[r["doc_id"]], []).append((r["shard"], r["slot"]))
+    order = {(r["shard"], r["slot"]): i for i, r in enumerate(sorted(got, key=lambda r: (r["shard"], r["slot"])))}
+    for v in place.values():
+        at = [order[x] for x in v]
+        assert at == list(range(at[0], at[0] + len(at)))
