@@ -4,9 +4,10 @@ The mix has as many equal blocks of ``block`` words as all documents hold.
 Each source's target is its weighted share, capped at ``epochs`` times its
 size, the excess going to the others by weight. The blocks are then
 apportioned to the sources by highest quotients (target / (2 seats + 1)), so
-each source gets an integer quota; since the method is house-monotone, the
-quotas of shard after shard are increments of one allocation. Within a source
-the documents stand in a seeded order; whole passes are taken first and the
+each source gets an integer quota in every shard; since the method is
+house-monotone, the quotas of shard after shard are increments of one
+allocation. Within a source the documents stand in a seeded order, which cut
+into blocks is the order in which the shards take them: whole passes first, the
 remaining blocks of the quota are the first of that order.
 
 Only DataFrame expressions run. Null text has no words; a null source is a
@@ -27,6 +28,7 @@ WEIGHTS = (5, 2, 1)  # repeating, by the sources' order
 EPOCHS = 3
 BLOCK = 64  # words
 SEED = 17
+SHARDS = 16
 
 
 def source_sizes(rows: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
@@ -83,17 +85,32 @@ def apportion(sources: DataFrame, seats: int) -> DataFrame:
 
 
 def shard_quotas(sources: DataFrame, blocks: int, shards: int) -> DataFrame:
-    """Integer quotas of every source in every shard: increments of the allocation as the mix grows shard by shard."""
-    out, before = None, None
-    for s in range(shards):
-        now = apportion(sources, blocks * (s + 1) // shards).select("rank", "source", "quota")
-        part = now if before is None else (
-            now.join(before.withColumnRenamed("quota", "had"), ["rank"])
-            .select("rank", "source", (F.col("quota") - F.col("had")).alias("quota")))
-        part = part.withColumn("shard", F.lit(s))
-        out = part if out is None else out.unionByName(part)
-        before = now.select("rank", "quota")
-    return out
+    """``sources`` with ``upto``: per shard the blocks that the source holds in it and the shards before.
+
+    The method is house-monotone, so the quota of a shard is the growth of the allocation as the mix grows by that
+    shard. All the shards' allocations are found at once, as :func:`apportion` finds one; ``upto`` has one number a shard.
+    """
+    total, n = sources.agg(F.sum("target"), F.count(F.lit(1))).first()
+    if not blocks or not total:
+        return sources.withColumn("upto", F.array_repeat(F.lit(0).cast("long"), shards))
+    ends = F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(blocks * (s + 1) // shards).cast("long").alias("seats")) for s in range(shards)])
+    each = sources.select("rank", "target", F.explode(ends).alias("end")).select("rank", "target", "end.shard", "end.seats")
+
+    def at(seats: Column) -> Column:
+        return F.floor(F.col("target") * seats / F.lit(total) + 0.5).cast("long")
+
+    half = n / 2 + 1
+    each = each.withColumns({"low": F.greatest(at(F.col("seats") - half), F.lit(0)), "high": at(F.col("seats") + half) + 1})
+    each = materialize(each, "mix_quotas")  # sources x shards rows
+    still = each.groupBy(F.col("shard").alias("s")).agg((F.first("seats") - F.sum("low")).alias("open"))
+    seat = each.select("rank", "target", "shard", F.explode(F.sequence("low", "high")).alias("k"))
+    seat = seat.withColumn("quotient", F.col("target") / (2 * F.col("k") + 1)).where("quotient > 0")
+    place = F.row_number().over(Window.partitionBy("shard").orderBy(F.desc("quotient"), "rank"))  # about 2 a source
+    won = (seat.withColumn("place", place).join(F.broadcast(still), F.col("shard") == F.col("s")).where("place <= open")
+           .groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("won")))
+    quota = each.join(won, ["rank", "shard"], "left").select("rank", "shard", (F.col("low") + F.coalesce("won", F.lit(0))).alias("quota"))
+    upto = quota.groupBy("rank").agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "quota"))), lambda x: x["quota"]).alias("upto"))
+    return sources.join(upto, "rank")
 
 
 def sized(docs: DataFrame, keep: list[Column], source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -103,8 +120,11 @@ def sized(docs: DataFrame, keep: list[Column], source_col: str = "source", text_
 
 
 def mix(rows: DataFrame, name: str = "mix", weights: tuple = WEIGHTS, epochs: int = EPOCHS, block: int = BLOCK,
-        seed: int = SEED) -> DataFrame:
-    """``rows`` (doc_id, source, size, ...) with source_size, target, quota (blocks) and taken (words).
+        seed: int = SEED, shards: int = SHARDS) -> DataFrame:
+    """``rows`` (doc_id, source, size, ...) with source_size, target, quota (blocks), taken (words) and shard.
+
+    A source's blocks are its words in a seeded order of its documents, pass after pass. Shard after shard takes as
+    many of them as its quota says; ``shard`` is where a document's first taken word goes (null: nothing taken).
 
     The running size inside a source comes from a range partitioning on
     (source, seeded hash, doc_id, size): a source that holds a third of all
@@ -115,14 +135,14 @@ def mix(rows: DataFrame, name: str = "mix", weights: tuple = WEIGHTS, epochs: in
                         partitions_for(rows.count()), name)
     sources = targets(source_sizes(placed, weights), epochs)
     total = sources.agg(F.sum("source_size")).first()[0] or 0
-    sources = apportion(sources, -(-total // block))
+    sources = shard_quotas(sources, -(-total // block), shards).withColumn("quota", F.element_at("upto", -1))
     # words of a source in earlier partitions: one row per (source, partition) that meet, about sources + partitions
     runs = placed.groupBy("source", "part").agg(F.sum("size").alias("run"))
     runs = runs.withColumn("before", F.coalesce(F.sum("run").over(
         Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    info = runs.join(sources.select(F.col("source").alias("s"), "source_size", "target", "quota"),
+    info = runs.join(sources.select(F.col("source").alias("s"), "source_size", "target", "quota", "upto"),
                      F.col("source").eqNullSafe(F.col("s"))).drop("s", "run")
-    info = info.select(F.col("source").alias("s"), F.col("part").alias("p"), "before", "source_size", "target", "quota")
+    info = info.select(F.col("source").alias("s"), F.col("part").alias("p"), "before", "source_size", "target", "quota", "upto")
     own = Window.partitionBy("part", "source").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     running = placed.withColumn("ahead", F.coalesce(F.sum("size").over(own), F.lit(0)))
     found = running.join(info, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
@@ -131,15 +151,18 @@ def mix(rows: DataFrame, name: str = "mix", weights: tuple = WEIGHTS, epochs: in
     rest = words_taken - passes * F.col("source_size")
     at = F.col("before") + F.col("ahead")
     part = F.greatest(F.least(rest - at, F.col("size")), F.lit(0))
-    return (found.withColumn("taken", (passes * F.col("size") + part).cast("long"))
-            .drop("part", "row", "before", "ahead", "p", "s", "_order"))
+    taken = (passes * F.col("size") + part).cast("long")
+    first = F.floor(at / block)  # the document's first word lies in this block of its source
+    shard = F.size(F.filter("upto", lambda u: u <= first))
+    return (found.withColumn("taken", taken).withColumn("shard", F.when(F.col("taken") > 0, shard))
+            .drop("part", "row", "before", "ahead", "p", "s", "_order", "upto"))
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                 **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken, and the source's quota of blocks."""
+    """doc_id, size, source_size, target, taken, the source's quota of blocks, and the shard."""
     rows = sized(docs, [F.col(id_col).alias("doc_id")], source_col, text_col)
-    return mix(rows, **options).select("doc_id", "size", "source_size", "target", "taken", "quota")
+    return mix(rows, **options).select("doc_id", "size", "source_size", "target", "taken", "quota", "shard")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

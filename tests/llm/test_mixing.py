@@ -61,12 +61,25 @@ def test_empty(docs):
 
 def test_shard_quotas_add_up(spark):
     s = spark.createDataFrame([(0, "a", 500.0), (1, "b", 300.0), (2, "c", 7.0)], "rank long, source string, target double")
-    q = mixing.shard_quotas(s, 40, 4).collect()
-    whole = {r["source"]: r["quota"] for r in mixing.apportion(s, 40).collect()}
-    assert all(r["quota"] >= 0 for r in q)
-    for name, n in whole.items():
-        assert sum(r["quota"] for r in q if r["source"] == name) == n
-    assert all(sum(r["quota"] for r in q if r["shard"] == k) == 10 for k in range(4))
+    for blocks, shards in ((40, 4), (1000, 7), (3, 5)):
+        upto = {r["source"]: r["upto"] for r in mixing.shard_quotas(s, blocks, shards).collect()}
+        for k in range(shards):  # every prefix of shards is the apportionment of its blocks
+            whole = {r["source"]: r["quota"] for r in mixing.apportion(s, blocks * (k + 1) // shards).collect()}
+            assert {name: u[k] for name, u in upto.items()} == whole
+        assert all(list(u) == sorted(u) for u in upto.values())
+
+
+def test_shards_hold_their_quotas(docs):
+    rng = random.Random(4)
+    rows = [(i, "w " * rng.randrange(60), "en", rng.choice("abc")) for i in range(300)]
+    got = mixing.mix_sources(docs(rows), block=8, shards=6).collect()
+    assert all((r["shard"] is None) == (r["taken"] == 0) for r in got)
+    assert {r["shard"] for r in got if r["taken"]} == set(range(6))
+    words = defaultdict(int)
+    for r in got:
+        if r["taken"]:
+            words[r["shard"]] += min(r["taken"], r["size"])
+    assert max(words.values()) <= 2 * sum(len(brute.words(r[1])) for r in rows) / 6
 
 
 def test_stage_takes_effect(spark, docs):
