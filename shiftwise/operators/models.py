@@ -70,10 +70,12 @@ def prepare(train: DataFrame, holdout: DataFrame, cols=NUMERIC_FEATURES) -> Prep
     """Impute both sides with medians fitted on train (model parameters)."""
     # a column with no value at all imputes to 0.0 instead of failing assembly
     medians = {c: (0.0 if v is None else v) for c, v in fit_medians(train, cols).first().asDict().items()}
-    cats = {c: F.col(c).cast("string") for c in CATEGORICAL_FEATURES}
-    tr = impute(train, medians, cols).withColumns({f"{c}_cat": v for c, v in cats.items()})
-    ho = impute(holdout, medians, cols).withColumns({f"{c}_cat": v for c, v in cats.items()})
-    return Prepared(tr, ho, medians)
+    return Prepared(prepared_rows(train, medians, cols), prepared_rows(holdout, medians, cols), medians)
+
+
+def prepared_rows(df: DataFrame, medians: dict, cols=NUMERIC_FEATURES) -> DataFrame:
+    """Imputed values and categories as text beside the original columns."""
+    return impute(df, medians, cols).withColumns({f"{c}_cat": F.col(c).cast("string") for c in CATEGORICAL_FEATURES})
 
 
 def _indexers():

@@ -52,6 +52,14 @@ class Workspace:
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         return self._write(df, name) if self.materialize_inputs or self.persist else df
 
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written under this run's folder and read back."""
+        return self._write(df, name)
+
+    def plan_on(self, forecast: DataFrame) -> None:
+        """Build the labor plan and the mart on these forecast rows (before they are first asked for)."""
+        self.__dict__["mart_forecast"] = self._stage(forecast, "mart_forecast")
+
     # inputs ---------------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:

@@ -23,6 +23,7 @@ from shiftwise.operators.prepare import join_inputs
 from shiftwise.operators.split import split_summary
 from shiftwise.operators.standards import dept_stats, volume_cutoffs
 from shiftwise.plans import load, sql_api
+from shiftwise.plans.forecasting import run_forecast
 from shiftwise.plans.oracle import with_ctes
 from shiftwise.plans.pipeline import Workspace
 from shiftwise.session import run_folder
@@ -368,6 +369,24 @@ register("forecast_ridge", lambda w: w.ridge_forecasts, None, ops="M6 M7 M9 M10"
 register("forecast_gbt_60_rounds", lambda w: w.gbt_forecasts, None, ops="M8 M9 M10")
 register("model_metrics_ml", lambda w: w.model_metrics, None, ops="M11 M13 M14")
 register("forecast_best_ml", lambda w: w.model_best, None, ops="M12")
+
+
+def _driver_rows(w):
+    """The driver's models over the holdout: what every model must agree with, whatever it predicts."""
+    run = run_forecast(w)
+    actual = F.sum("actual_weekly_sales")
+    return run.forecasts.groupBy("model_name").agg(
+        F.count(F.lit(1)).alias("row_count"), actual.alias("actual_weekly_sales"),
+        F.sum((F.col("forecast_weekly_sales") < 0).cast("int")).alias("negative_rows"),
+        F.sum((F.abs(F.col("actual_weekly_sales") - F.col("forecast_weekly_sales") - F.col("forecast_error")) > 1e-6).cast("int"))
+        .alias("error_mismatches"))
+
+
+register("forecast_driver_60_rounds", _driver_rows,
+         """SELECT m.model_name, count(*) AS row_count, sum(weekly_sales) AS actual_weekly_sales,
+                   CAST(0 AS BIGINT) AS negative_rows, CAST(0 AS BIGINT) AS error_mismatches
+            FROM holdout, (VALUES ('Seasonal Naive'), ('Rolling Mean'), ('Ridge Regression'), ('Gradient Boosted Trees')) m(model_name)
+            GROUP BY m.model_name""", {"actual_weekly_sales": 6}, ops="M14")
 # --- sources, sinks and the SQL catalog (A1, A2, A6, A7) ----------------------------
 def _csv_roundtrip(w):
     path = f"{run_folder(w.spark, w.run_id)}/csv_roundtrip"
