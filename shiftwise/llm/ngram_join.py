@@ -3,7 +3,7 @@
 A document's set holds the hashes of its distinct five-word shingles. Texts
 with equal sets form a class, and only classes are joined. One total order
 holds for all shingles: by how often their hash bucket occurs in the whole
-corpus (a count sketch that grows with it, 64 MB at most), rarest first, then
+corpus (a count sketch that grows with it, 32 MB at most), rarest first, then
 by hash. Two sets
 with Jaccard >= t must share a shingle among the first n - ceil(t n) + 1 of
 each (prefix filter), so only those are shuffled, joined, and filtered:
@@ -45,8 +45,8 @@ from shiftwise.session import materialize, remove_folder, run_folder
 WORDS = 5
 PERCENT = 75
 STAR_ROUNDS = 2
-MOST_SKETCH_BITS = 25  # 64 MB, the largest sketch that is broadcast
-MOST_COUNT = 65535
+MOST_SKETCH_BITS = 25  # 32 MB, the largest sketch that is broadcast
+MOST_COUNT = 255  # a byte; with 16 shingles a bucket only frequent ones get there
 
 
 def class_key(hashes: np.ndarray) -> int:
@@ -66,7 +66,7 @@ def sketch_bits(text_bytes: int) -> int:
 
 
 def _capped(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.minimum(a.astype(np.uint32) + b, MOST_COUNT).astype(np.uint16)
+    return np.minimum(a.astype(np.uint32) + b, MOST_COUNT).astype(np.uint8)
 
 
 def shingle_sketch(texts: DataFrame, size: int) -> np.ndarray:
@@ -76,15 +76,15 @@ def shingle_sketch(texts: DataFrame, size: int) -> np.ndarray:
     bits = sketch_bits(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
     def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << bits, np.uint16)
+        total = np.zeros(1 << bits, np.uint8)
         for b in it:
             for part in in_parts(b["text"].tolist()):
                 at, n = np.unique(bucket(np.concatenate(shingle_sets(part, size)), bits), return_counts=True)
                 total[at] = _capped(total[at], n)
         yield sliced(total, TaskContext.get().partitionId())
 
-    counts = add_up(texts.select("text").mapInPandas(count, SLICE), texts.rdd.getNumPartitions(), _capped, np.uint16)
-    return counts if len(counts) else np.zeros(1 << bits, np.uint16)
+    counts = add_up(texts.select("text").mapInPandas(count, SLICE), texts.rdd.getNumPartitions(), _capped, np.uint8)
+    return counts if len(counts) else np.zeros(1 << bits, np.uint8)
 
 
 def prefixes(texts: DataFrame, sketch, size: int, percent: int) -> DataFrame:
@@ -243,7 +243,8 @@ def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple
     classes = materialize(wordy.groupBy("cls").agg(F.min("doc_id").alias("rep")), "join_classes")
     firsts = wordy.groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
     entries = firsts.select("cls", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "h"))
-    # counted apart from the entries: a frequent shingle's list may be long, and the semi join can split it
+    # dealt once by shingle for both the count and the join; both stream, so no task holds a frequent shingle's list
+    entries = entries.repartition("h")
     often = entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h")
     shared = entries.join(often, "h", "left_semi")
     lists = materialize(shared.withColumn("rich", F.count(F.lit(1)).over(Window.partitionBy("cls"))), "join_lists")
