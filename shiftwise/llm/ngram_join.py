@@ -34,17 +34,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shiftwise.llm.common import WORD, table
-from shiftwise.llm.hashing import (SKETCH_BITS, SLICE, add_up, bucket, in_marks, in_parts, marked, mix, shingle_sets,
+from shiftwise.llm.common import WORD, empty_if_null, table
+from shiftwise.llm.fill_middle import text_parts
+from shiftwise.llm.hashing import (SKETCH_BITS, SLICE, add_up, bucket, in_marks, marked, mix, shingle_sets,
                                    sliced)
 from shiftwise.session import materialize, remove_folder, run_folder
 
 WORDS = 5
 PERCENT = 75
 STAR_ROUNDS = 2
+SLICES_SCHEMA = pa.schema([("part", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
 MOST_SKETCH_BITS = 25  # 32 MB, the largest sketch that is broadcast
 MOST_COUNT = 255  # a byte; with 16 shingles a bucket only frequent ones get there
 
@@ -75,55 +78,67 @@ def shingle_sketch(texts: DataFrame, size: int) -> np.ndarray:
 
     bits = sketch_bits(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
-    def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.uint8)
         for b in it:
-            for part in in_parts(b["text"].tolist()):
+            for _, _, part in byte_parts(b):
                 at, n = np.unique(bucket(np.concatenate(shingle_sets(part, size)), bits), return_counts=True)
                 total[at] = _capped(total[at], n)
-        yield sliced(total, TaskContext.get().partitionId())
+        slices = sliced(total, TaskContext.get().partitionId())
+        yield pa.RecordBatch.from_pandas(slices, schema=SLICES_SCHEMA, preserve_index=False)
 
-    counts = add_up(texts.select("text").mapInPandas(count, SLICE), texts.rdd.getNumPartitions(), _capped, np.uint8)
+    counts = add_up(texts.select("text").mapInArrow(count, SLICE), texts.rdd.getNumPartitions(), _capped, np.uint8)
     return counts if len(counts) else np.zeros(1 << bits, np.uint8)
 
 
 def prefixes(texts: DataFrame, sketch, size: int, percent: int) -> DataFrame:
     """(doc_id, key, cls, n_shingles, prefix): one row per document; ``sketch`` is the broadcast count sketch."""
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         bits = len(counts).bit_length() - 1
         for b in it:
-            cls, n, firsts = [], [], []
-            for part in in_parts(b["text"].tolist()):
+            for row, upto, part in byte_parts(b):
+                cls, n, firsts = [], [], []
                 for h in shingle_sets(part, size):
                     n.append(len(h))
                     cls.append(class_key(h) if len(h) else None)
                     order = np.lexsort((h, counts[bucket(h, bits)]))[: prefix_length(len(h), percent)] if len(h) else []
                     firsts.append(h[order].astype(np.int64) if len(h) else np.zeros(0, np.int64))
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "key": b["key"], "cls": pd.array(cls, "Int64"),
-                                "n_shingles": n, "prefix": firsts})
+                ends = np.concatenate(([0], np.cumsum([len(f) for f in firsts]))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(row, upto - row), b.column("key").slice(row, upto - row), pa.array(cls, pa.int64()),
+                     pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts)))],
+                    names=["doc_id", "key", "cls", "n_shingles", "prefix"])
 
-    return texts.mapInPandas(batches, "doc_id long, key long, cls long, n_shingles long, prefix array<long>")
+    return texts.mapInArrow(batches, "doc_id long, key long, cls long, n_shingles long, prefix array<long>")
+
+
+def byte_parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(from row, to row, texts as bytes) of a batch, about a million bytes at a time, without Python strings."""
+    for row, upto, data, begins, ends in text_parts(batch, "text", 1_000_000):
+        whole = data.tobytes()
+        yield row, upto, [whole[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
 
 
 def whole_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(cls, shingles) of the wanted classes. A sketch of their keys, of fixed size, keeps most other sets out of the shuffle."""
     marks = texts.sparkSession.sparkContext.broadcast(marked(wanted, "cls"))
 
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = set()
         for b in it:
-            out = []
-            for part in in_parts(b["text"].tolist()):
+            for _, _, part in byte_parts(b):
+                keys, found = [], []
                 for h in shingle_sets(part, size):
                     if len(h):
                         k = class_key(h)
                         if k not in sent and in_marks(np.array([k]), marks.value)[0]:
                             sent.add(k)
-                            out.append((k, h.tobytes()))
-            yield pd.DataFrame(out, columns=["cls", "shingles"])
+                            keys.append(k)
+                            found.append(h.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.binary())], names=["cls", "shingles"])
 
-    sets = texts.select("text").mapInPandas(batches, "cls long, shingles binary")
+    sets = texts.select("text").mapInArrow(batches, "cls long, shingles binary")
     return sets.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
@@ -278,7 +293,8 @@ def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"),
+                       empty_if_null(text_col).alias("text"))
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
