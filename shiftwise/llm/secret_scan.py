@@ -54,12 +54,35 @@ ENCODINGS = (
     ("^[A-Za-z0-9+/_-]+$", UPPER + LOWER + DIGITS + "+/-_"),
 )
 CLASSES = (20, 28, 36, 48, 64, 96)  # least length of each length class, multiples of 4
-CHANGE = 1 << 20  # above twice any sum of a window's products, so both fit one number
+WORD = 48  # letters of a window that one number holds a bit each of; longer windows take two numbers
 PIECE = 20160  # letters handled together: a multiple of every class's length, so no window is cut
+BLOCK = 256  # items of one inner pass of ``_running``
 BINS_PER_UNIT, LAST_BIN = 4, 400
 RATE = 0.05  # bound on the expected share of false discoveries
 
 
+def _running(items: Column, state: Column, kind: str, step) -> Column:
+    """The arrays (of DDL type ``kind``) that ``step(state, item) -> (state, array)`` gives, item after item, chained.
+
+    Appending to one array copies it for every item; blocks keep the copied part short, so time is linear in the items.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(a: Column, x: Column) -> Column:
+        after, found = step(a["s"], x)
+        return F.struct(after.alias("s"), F.concat(a["out"], found).alias("out"))
+
+    def block(a: Column, xs: Column) -> Column:
+        done = F.array(F.aggregate(xs, F.struct(a["s"].alias("s"), none.alias("out")), one))
+        return F.get(F.transform(done, lambda d: F.struct(
+            d["s"].alias("s"), F.concat(a["out"], F.array(d["out"])).alias("out"))), F.lit(0))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
+                         lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)))
+    start = F.struct(state.alias("s"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return F.when(F.size(items) > 0, F.aggregate(blocks, start, block, lambda a: F.flatten(a["out"]))).otherwise(none)
+
+
 def _spans(text: Column, pattern: str, kind: int, values_group: int | None = None, least: int = 0) -> Column:
     """Array of (start, kind, end, found) of the leftmost non-overlapping matches."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -68,18 +91,18 @@ def _spans(text: Column, pattern: str, kind: int, values_group: int | None = Non
     steps = F.zip_with(F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found,
                                   lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("m"))),
                        values, lambda x, v: F.struct(x["gap"].alias("gap"), x["m"].alias("m"), F.length(v).alias("n")))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,found:string,n:int>>")
+    fields = "struct<start:int,kind:int,end:int,found:string,n:int>"
 
-    def step(s: Column, x: Column) -> Column:
-        start = s["at"] + x["gap"]
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + x["gap"]
         end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.struct(
-            start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["m"].alias("found"),
-            x["n"].alias("n")))).alias("out"))
+        return end, F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
+                                     x["m"].alias("found"), x["n"].alias("n")))
 
-    spans = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+    # bound to a lambda's variable, so that the matches are looked for once
+    spans = F.get(F.transform(F.array(steps), lambda x: _running(x, F.lit(0), fields, step)), F.lit(0))
     spans = F.filter(spans, lambda s: s["n"] >= least) if least else spans
-    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(none)
+    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(f"array<{fields}>"))
 
 
 def _bare(spans: Column) -> Column:
@@ -130,35 +153,50 @@ def _bin(t: Column) -> Column:
     return F.least(F.floor(t * BINS_PER_UNIT), F.lit(LAST_BIN)).cast("int")
 
 
-def _no_pieces() -> Column:
-    return F.array().cast("array<struct<start:int,found:string>>")
+PIECES = "struct<start:int,found:string>"
+
+
+def _left(runs: Column, base: Column) -> Column:
+    """Array of (start, found): what the base spans leave of the runs; one pass over both in order of their starts."""
+    last = F.lit(2**31 - 1)
 
+    def event(start: Column, run: int, end: Column, found: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(run).alias("run"), end.alias("end"), found.alias("found"))
 
-def _left_of(run: Column, base: Column) -> Column:
-    """Array of (start, found): what the base spans, in order, leave of a run."""
-    over = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    events = F.concat(F.array_sort(F.concat(
+        F.transform(base, lambda b: event(b["start"], 0, b["end"], F.lit(""))),
+        F.transform(runs, lambda r: event(r["start"], 1, r["end"], r["found"])))),
+        F.array(event(last, 1, last, F.lit(""))))  # brings out the rest of the last run
+    none = F.array().cast(f"array<{PIECES}>")
 
-    def upto(s: Column, end: Column) -> Column:
-        return F.struct(s["at"].alias("start"), F.substring(run["found"], s["at"] - run["start"] + 1, end - s["at"]).alias("found"))
+    def step(s: Column, x: Column) -> tuple[Column, Column]:
+        """``at`` to ``end`` is open of the run that begins at ``start``, ``cover`` the furthest end of a base span."""
+        run = x["run"] == 1
+        stop = F.when(run, s["end"]).otherwise(F.least(x["start"], s["end"]))
+        piece = F.struct(s["at"].alias("start"), F.substring(s["found"], s["at"] - s["start"] + 1, stop - s["at"]).alias("found"))
+        return F.struct(
+            F.when(run, s["cover"]).otherwise(F.greatest(s["cover"], x["end"])).alias("cover"),
+            F.when(run, F.greatest(x["start"], s["cover"])).otherwise(F.greatest(s["at"], x["end"])).alias("at"),
+            F.when(run, x["end"]).otherwise(s["end"]).alias("end"), F.when(run, x["start"]).otherwise(s["start"]).alias("start"),
+            F.when(run, x["found"]).otherwise(s["found"]).alias("found"),
+        ), F.when(stop > s["at"], F.array(piece)).otherwise(none)
 
-    left = F.aggregate(
-        over, F.struct(run["start"].alias("at"), _no_pieces().alias("out")),
-        lambda s, b: F.struct(F.greatest(s["at"], b["end"]).alias("at"), F.concat(s["out"], F.when(
-            b["start"] > s["at"], F.array(upto(s, b["start"]))).otherwise(_no_pieces())).alias("out")),
-        lambda s: F.concat(s["out"], F.when(run["end"] > s["at"], F.array(upto(s, run["end"]))).otherwise(_no_pieces())))
-    whole = F.array(F.struct(run["start"].alias("start"), run["found"].alias("found")))
-    return F.when(F.exists(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])), left).otherwise(whole)
+    nothing = F.struct(F.lit(0).alias("cover"), F.lit(0).alias("at"), F.lit(0).alias("end"), F.lit(0).alias("start"),
+                       F.lit("").alias("found"))
+    cut = F.get(F.transform(F.array(events), lambda e: _running(e, nothing, PIECES, step)), F.lit(0))
+    whole = F.transform(runs, lambda r: F.struct(r["start"].alias("start"), r["found"].alias("found")))
+    return F.when((F.size(runs) > 0) & (F.size(base) > 0), cut).otherwise(whole)
 
 
 def _with_parts(piece: Column) -> Column:
     """Array of (start, found): the piece and, if it mixes encodings, its parts of one encoding."""
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        part = F.array(F.struct(at.alias("start"), x.alias("found")))
+        return at + F.length(x) + 1, F.when(F.length(x) >= CLASSES[0], part).otherwise(F.array().cast(f"array<{PIECES}>"))
+
     def parts(marks: str) -> Column:
-        return F.aggregate(
-            F.split(piece["found"], marks, -1), F.struct(piece["start"].alias("at"), _no_pieces().alias("out")),
-            lambda s, x: F.struct((s["at"] + F.length(x) + 1).alias("at"), F.concat(s["out"], F.when(
-                F.length(x) >= CLASSES[0], F.array(F.struct(s["at"].alias("start"), x.alias("found")))
-            ).otherwise(_no_pieces())).alias("out")),
-            lambda s: s["out"])
+        cut = F.array(F.split(piece["found"], marks, -1))
+        return F.get(F.transform(cut, lambda c: _running(c, piece["start"], PIECES, step)), F.lit(0))
 
     whole = F.array(piece)
     return F.when(F.rlike(piece["found"], F.lit(MIXED)), F.concat(whole, parts("[_-]"), parts("[+/]"))).otherwise(whole)
@@ -172,7 +210,7 @@ def scan(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFra
         "_assign": _spans(text, ASSIGN, 0, 2, ASSIGN_LEAST), "_access": _spans(text, ACCESS, 1),
         "_hex": _spans(text, HEX, 2), "_run": _spans(text, RUN, 3)})
     df = df.withColumn("base", F.array_sort(F.concat(_bare(F.col("_assign")), _bare(F.col("_access")), _bare(F.col("_hex")))))
-    df = df.withColumn("_left", F.flatten(F.transform("_run", lambda r: _left_of(r, F.col("base")))))
+    df = df.withColumn("_left", _left(F.col("_run"), F.col("base")))
     df = df.withColumn("_pieces", F.flatten(F.transform(F.filter(
         "_left", lambda x: F.length(x["found"]) >= CLASSES[0]), _with_parts)))
 
@@ -196,35 +234,82 @@ def scan(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFra
 def background(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """cls, bin, n: how many text windows of each length class depart how far, over all adjacent windows.
 
-    The same departure as ``departure`` gives, from sums shared by the classes:
-    products and changes of neighbours are added up once for every four letters.
+    The same departure as ``departure`` gives, from bits: a letter is five bits, a window five numbers (ten, if longer
+    than WORD) that hold one bit of each of its letters. Letters, neighbours' products and changes of half are then
+    counted by and and bit_count for all letters of a number at once.
     """
     letters = F.lower(F.regexp_replace(empty_if_null(text_col), "[^A-Za-z]+", ""))
     df = docs.select(F.explode(F.regexp_extract_all(letters, F.lit(f"[a-z]{{1,{PIECE}}}"), F.lit(0))).alias("piece"))
     df = df.where(F.length("piece") >= CLASSES[0])
-    # twice the distance from the middle letter, so that all sums are whole numbers
-    df = df.withColumn("v", F.transform(F.split("piece", ""), lambda c: F.ascii(c) * 2 - (2 * ord("a") + 25)))
-    # a neighbour's product, plus CHANGE where the two lie in different halves; the last letter has no neighbour
-    df = df.withColumn("p", F.zip_with("v", F.slice("v", F.lit(2), F.size("v")), lambda a, b: F.coalesce(
-        F.when(a * b < 0, a * b + CHANGE).otherwise(a * b), F.lit(0))))
-    df = df.withColumn("four", F.transform(F.sequence(F.lit(0), F.floor(F.size("p") / 4).cast("int") - 1), lambda k: (
-        F.get("p", k * 4) + F.get("p", k * 4 + 1) + F.get("p", k * 4 + 2) + F.get("p", k * 4 + 3))))
+    # one text of 0 and 1 per bit, as bytes: those are cut at any place without walking there
+    df = df.select(F.length("piece").alias("size"), *[F.translate("piece", LOWER, "".join(
+        str(v >> p & 1) for v in range(len(LOWER)))).cast("binary").alias(f"bit{p}") for p in range(5)])
+    # letters of the first and second number; the first of two also holds the letter after, for the neighbours between
+    first = [n if n <= WORD else n // 2 + 1 for n in CLASSES]
+    second = [0 if n <= WORD else n // 2 for n in CLASSES]
+
+    def number(p: int, start: Column, n: int) -> Column:
+        return F.conv(F.substring(f"bit{p}", start + 1, F.lit(n)).cast("string"), 2, 10).cast("long")
 
     def windows(cls: int, n: int) -> Column:
-        last = F.greatest(F.floor(F.length("piece") / n).cast("int") - 1, F.lit(0))
-        products = F.transform(F.sequence(F.lit(0), last), lambda k: F.aggregate(
-            F.slice("four", k * (n // 4) + 1, F.lit(n // 4)), F.lit(0), lambda s, x: s + x) - F.get("p", k * n + (n - 1)))
-        found = F.zip_with(F.regexp_extract_all("piece", F.lit(f"[a-z]{{{n}}}"), F.lit(0)), products,
-                           lambda m, s: F.struct(F.lit(cls).alias("cls"), m.alias("m"), s.alias("s")))
-        return F.when(F.length("piece") >= n, found).otherwise(F.array().cast("array<struct<cls:int,m:string,s:int>>"))
-
-    df = df.select(F.explode(F.concat(*[windows(i, n) for i, n in enumerate(CLASSES)])).alias("x")).select("x.cls", "x.m", "x.s")
-    n, a, squares = F.length("m").cast("double"), float(len(LOWER)), F.lit(0)
-    for c in LOWER:
-        count = F.length("m") - F.length(F.replace("m", F.lit(c), F.lit("")))
-        squares = squares + count * count
-    changes = F.floor((F.col("s") + CHANGE // 2) / CHANGE)
-    t = _score(F.lit(a), n, squares.cast("double"), changes.cast("double"), (F.col("s") - changes * CHANGE) / 4.0)
+        def one(k: Column) -> Column:
+            return F.struct(
+                F.lit(cls).alias("cls"), *[number(p, k * n, first[cls]).alias(f"a{p}") for p in range(5)],
+                *[(number(p, k * n + n // 2, second[cls]) if second[cls] else F.lit(0).cast("long")).alias(f"b{p}") for p in range(5)])
+
+        made = F.transform(F.sequence(F.lit(0), F.greatest(F.floor(F.col("size") / n).cast("int") - 1, F.lit(0))), one)
+        fields = ",".join(f"{w}{p}:bigint" for w in "ab" for p in range(5))
+        return F.when(F.col("size") >= n, made).otherwise(F.array().cast(f"array<struct<cls:int,{fields}>>"))
+
+    df = df.select(F.explode(F.concat(*[windows(i, n) for i, n in enumerate(CLASSES)])).alias("x")).select("x.*")
+
+    def of_class(values: list[int]) -> Column:
+        return F.get(F.array(*[F.lit(v).cast("long") for v in values]), F.col("cls"))
+
+    def both(columns) -> Column:
+        a, b = (columns(w) for w in "ab")
+        return a + b
+
+    # inner: all letters but the one without a neighbour behind it; own: letters that are not counted in the other number
+    df = df.withColumns({
+        "n": of_class(list(CLASSES)), "ina": of_class([(1 << k - 1) - 1 for k in first]),
+        "inb": of_class([(1 << k - 1) - 1 if k else 0 for k in second]),
+        "owna": of_class([(1 << min(k, n) if n <= WORD else 1 << k - 1) - 1 for k, n in zip(first, CLASSES)]),
+        "ownb": of_class([(1 << k) - 1 for k in second]),
+        **{f"ca{p}": F.when(F.col("cls") < sum(n <= WORD for n in CLASSES), F.col(f"a{p}")).otherwise(F.shiftright(f"a{p}", 1))
+           for p in range(5)}, **{f"cb{p}": F.col(f"b{p}") for p in range(5)}})
+
+    def having(w: str, value: int, bits: range) -> Column:
+        """Letters whose ``bits`` are those of ``value``."""
+        out = F.col(f"own{w}")
+        for p in bits:
+            out = out.bitwiseAND(F.col(f"c{w}{p}") if value >> p & 1 else F.bitwise_not(F.col(f"c{w}{p}")))
+        return out
+
+    def half(w: str) -> Column:
+        """Letters from the middle on: 13 = 01101 in bits."""
+        b = [F.col(f"{w}{p}") for p in range(5)]
+        return b[4].bitwiseOR(b[3].bitwiseAND(b[2]).bitwiseAND(b[0].bitwiseOR(b[1])))
+
+    df = df.select(
+        "cls", "n", "ina", "inb", *[f"{w}{p}" for w in "ab" for p in range(5)], *[half(w).alias(f"half{w}") for w in "ab"],
+        *[having(w, v, range(3, 5)).alias(f"high{w}{v}") for w in "ab" for v in range(0, 32, 8)],
+        *[having(w, v, range(3)).alias(f"low{w}{v}") for w in "ab" for v in range(8)])
+    squares = F.lit(0)
+    counts = [both(lambda w: F.bit_count(F.col(f"high{w}{v & 24}").bitwiseAND(F.col(f"low{w}{v & 7}")))) for v in range(len(LOWER))]
+    df = df.withColumns({
+        **{f"n{v}": c for v, c in enumerate(counts)},
+        "changes": both(lambda w: F.bit_count(F.col(f"half{w}").bitwiseXOR(F.shiftright(f"half{w}", 1)).bitwiseAND(F.col(f"in{w}")))),
+        "pairs": sum((both(lambda w: F.bit_count(F.col(f"{w}{p}").bitwiseAND(F.shiftright(f"{w}{q}", 1)))) * (1 << p + q)
+                      for p in range(5) for q in range(5)), F.lit(0)),
+        "sums": sum((both(lambda w: F.bit_count(F.shiftright(f"{w}{p}", 1)) + F.bit_count(F.col(f"{w}{p}").bitwiseAND(F.col(f"in{w}"))))
+                     * (1 << p) for p in range(5)), F.lit(0))})
+    for v in range(len(LOWER)):
+        squares = squares + F.col(f"n{v}") * F.col(f"n{v}")
+    # the sum of (2v - 25)(2w - 25) over neighbours v, w: four times that of their distances from the middle
+    products = (F.col("pairs") * 4 - F.col("sums") * 50 + (F.col("n") - 1) * 625) / 4
+    n, a = F.col("n").cast("double"), float(len(LOWER))
+    t = _score(F.lit(a), n, squares.cast("double"), F.col("changes").cast("double"), products)
     return df.select("cls", _bin(t).alias("bin")).groupBy("cls", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -257,11 +342,18 @@ def limits(scanned: DataFrame, docs: DataFrame, text_col: str = "text", rate: fl
 def with_spans(scanned: DataFrame, bins: list[int]) -> DataFrame:
     """Adds ``all_spans``: base spans and the runs that the battery holds for random."""
     limit = F.array(*[F.lit(b) for b in bins])
-    found = scanned.withColumn("_random", F.array_distinct(F.transform(
+    fields = "struct<start:int,kind:int,end:int>"
+
+    def outer(end: Column, x: Column) -> tuple[Column, Column]:
+        """Spans come by start, longer ones first: one that ends no later than one before lies inside it or repeats it."""
+        span = F.array(F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")))
+        return F.greatest(end, x["end"]), F.when(x["end"] > end, span).otherwise(F.array().cast(f"array<{fields}>"))
+
+    found = scanned.withColumn("_random", F.array_sort(F.transform(
         F.filter("runs", lambda r: r["bin"] <= F.get(limit, r["cls"])),
-        lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))))
-    outer = F.filter("_random", lambda r: ~F.exists("_random", lambda o: (o != r) & (o["start"] <= r["start"]) & (r["end"] <= o["end"])))
-    return found.withColumn("all_spans", F.array_sort(F.concat("base", outer))).drop("_random")
+        lambda r: F.struct(r["start"].alias("start"), (-r["end"]).alias("back"), r["end"].alias("end")))))
+    return found.withColumn("all_spans", F.array_sort(F.concat(
+        "base", _running(F.col("_random"), F.lit(0), fields, outer)))).drop("_random")
 
 
 def _joined(spans: str) -> Column:
@@ -285,13 +377,16 @@ def _count(kind: int) -> Column:
 
 def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     """The text with every span, overlaps merged, replaced by ``mask``."""
-    def step(s: Column, x: Column) -> Column:
-        fresh = x["start"] >= s["at"]
-        kept = F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mask))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(fresh, kept).otherwise(s["out"]).alias("out"))
+    def joined(wide: Column) -> Column:
+        def step(at: Column, x: Column) -> tuple[Column, Column]:
+            gap = F.decode(F.substring(wide, at * 4 + 1, (x["start"] - at) * 4), "UTF-32")
+            return F.greatest(at, x["end"]), F.when(x["start"] >= at, F.array(gap)).otherwise(F.array().cast("array<string>"))
+
+        end = F.struct(F.length(text).alias("start"), F.lit(len(KINDS)).alias("kind"), F.length(text).alias("end"))
+        return F.array_join(_running(F.concat(spans, F.array(end)), F.lit(0), "string", step), mask)
 
-    return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                       lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    # four bytes a code point, so that a span is cut without walking there; encoded once, as a lambda's variable
+    return F.get(F.transform(F.array(F.encode(text, "UTF-32")), joined), F.lit(0))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,3 +124,97 @@ def test_one_key_among_many_runs_of_few_long_documents(docs):
         at = rows[r["doc_id"]][1].split(" ")[150]
         start = rows[r["doc_id"]][1].index(at)
         assert r["spans"] == f"random:{start}:{start + 96}", r["doc_id"]
+
+
+def test_texts_with_very_many_matches(spark, docs):
+    """100,000 base matches beside as many runs: passes over them must not copy what they have so far."""
+    text = ("secret=abcdef \U0001F600 " + "deadbeef" * 3 + "zz/" + "x-" * 12 + "\n") * 50000
+    d = docs([(1, text), (2, "plain")])
+    got = {r["doc_id"]: r for r in secret_scan(d).collect()}
+    base = brute.base_spans(text)
+    assert got[1]["base_sha256"] == hashlib.sha256(brute.joined(base).encode()).hexdigest() and len(base) == 100000
+    masked = {r["doc_id"]: r["text"] for r in stage(spark, d, "").collect()}
+    spans = [tuple(map(int, x.split(":")[1:])) for x in got[1]["spans"].split(",")]
+    assert masked == {1: _masked(text, spans), 2: "plain"}
+
+
+def _masked(text, spans):
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_runs_less_base_spans_and_nested_spans_match_brute_force(spark):
+    """Both passes over spans in order, against all pairs."""
+    from pyspark.sql import functions as F
+
+    from shiftwise.llm.secret_scan import _left, redacted, with_spans
+    rng = random.Random(12)
+    rows = []
+    for i in range(200):
+        text = "".join(rng.choice("abé\U0001F600") for _ in range(rng.choice([60, 60, 700 * 8])))
+        cuts = sorted(rng.sample(range(len(text) + 1), rng.choice([0, 2, 8, min(len(text), 1400) // 2 * 2 - 2])))
+        runs = [(a, b, text[a:b]) for a, b in zip(cuts[::2], cuts[1::2])]
+        base = sorted((a, rng.randrange(3), a + rng.randrange(1, 30)) for a in rng.choices(range(len(text) - 30), k=rng.choice([0, 1, 9, 400])))
+        tested = [(a, min(a + rng.randrange(1, 30), len(text)), rng.randrange(6), rng.randrange(3))
+                  for a in rng.choices(range(len(text) - 1), k=rng.choice([0, 1, 9, 300]))]
+        rows.append((i, text, runs, base, tested + tested[:2]))
+    df = spark.createDataFrame(rows, "id int, text string, r array<struct<start:int,end:int,found:string>>, "
+                               "base array<struct<start:int,kind:int,end:int>>, runs array<struct<start:int,end:int,cls:int,bin:int>>")
+    bins = [0, 1, -1, 2, 0, 1]
+    got = with_spans(df, bins).withColumns({"left": _left(F.col("r"), F.col("base")), "new": redacted(F.col("text"), F.col("all_spans"))})
+    for r in got.collect():
+        _, text, runs, base, tested = rows[r["id"]]
+        covered = {p for a, _, b in base for p in range(a, b)}
+        left = []
+        for a, b, _ in runs:
+            for p in range(a, b):
+                if p not in covered:
+                    if p > a and p - 1 not in covered:
+                        left[-1][1] += text[p]
+                    else:
+                        left.append([p, text[p]])
+        assert [list(x) for x in r["left"] if x["found"]] == left
+        hits = {(a, b) for a, b, c, k in tested if k <= bins[c]}
+        outer = {x for x in hits if not any(y != x and y[0] <= x[0] and x[1] <= y[1] for y in hits)}
+        spans = sorted(base + [(a, 3, b) for a, b in outer])
+        assert [tuple(x) for x in r["all_spans"]] == spans
+        assert r["new"] == _masked(text, [(a, b) for a, _, b in spans])
+
+
+def test_departure_and_cut_match_brute_force(spark, docs):
+    from pyspark.sql import functions as F
+
+    from shiftwise.llm.secret_scan import RATE, departure, limits
+    rng = random.Random(13)
+    rows = []
+    for _ in range(300):
+        alphabet = rng.choice(["0123456789abcdef", string.ascii_lowercase, string.ascii_letters + string.digits])
+        few = rng.choice([alphabet, alphabet[:4]])
+        rows.append(("".join(rng.choice(few) for _ in range(rng.randrange(20, 130))), alphabet))
+    df = spark.createDataFrame([(rows,)], "x array<struct<m:string,alphabet:string>>")
+    for (m, alphabet), y in zip(rows, df.select(departure(F.col("x")).alias("t")).first()["t"]):
+        v, a, n = [alphabet.index(c) for c in m], len(alphabet), len(m)
+        mid = (a - 1) / 2
+        chi = max((a * sum(v.count(x) ** 2 for x in set(v)) / n - n - (a - 1)) / math.sqrt(2 * (a - 1) * (n - 1) / n), 0)
+        runs = (sum((p > mid) != (q > mid) for p, q in zip(v, v[1:])) - (n - 1) / 2) / math.sqrt((n - 1) / 4)
+        serial = sum((p - mid) * (q - mid) for p, q in zip(v, v[1:])) / ((a * a - 1) / 12) / math.sqrt(n - 1)
+        assert math.isclose(y["t"], chi ** 2 + runs ** 2 + serial ** 2, rel_tol=1e-9, abs_tol=1e-9)
+
+    texts = docs([(i, " ".join(rng.choice(["stone", "water", "bright", "of", "seven"]) for _ in range(4000))) for i in range(20)])
+    tested = [(rng.randrange(6), rng.choice([0, 1, 2, 5, 40, 200, 400])) for _ in range(500)]
+    scanned = spark.createDataFrame([([t],) for t in tested], "runs array<struct<cls:int,bin:int>>")
+    text = {}
+    for r in background(texts).collect():
+        text.setdefault(r["cls"], []).extend([r["bin"]] * r["n"])
+    p = sorted(((sum(x <= b for x in text.get(c, [])) + 1) / (len(text.get(c, [])) + 1), c, b) for c, b in tested)
+    passed = [x for i, (x, _, _) in enumerate(p) if x <= RATE * sum(y <= x for y, _, _ in p) / len(p)]
+    cut = max(passed, default=-1)
+    assert 0 < cut < p[-1][0]
+    found = limits(scanned, texts)
+    for (c, b) in set(tested):
+        x = (sum(y <= b for y in text.get(c, [])) + 1) / (len(text.get(c, [])) + 1)
+        assert (b <= found[c]) == (x <= cut and b < 400), (c, b)
