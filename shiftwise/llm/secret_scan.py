@@ -54,7 +54,7 @@ ENCODINGS = (
     ("^[A-Za-z0-9+/_-]+$", UPPER + LOWER + DIGITS + "+/-_"),
 )
 CLASSES = (20, 28, 36, 48, 64, 96)  # least length of each length class, multiples of 4
-WORD = 48  # letters of a window that one number holds a bit each of; longer windows take two numbers
+CHANGE = 1 << 20  # above twice any sum of a window's products, so both fit one number
 PIECE = 20160  # letters handled together: a multiple of every class's length, so no window is cut
 BLOCK = 256  # items of one inner pass of ``_running``
 BINS_PER_UNIT, LAST_BIN = 4, 400
@@ -80,7 +80,8 @@ def _running(items: Column, state: Column, kind: str, step) -> Column:
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
                          lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)))
     start = F.struct(state.alias("s"), F.array().cast(f"array<array<{kind}>>").alias("out"))
-    return F.when(F.size(items) > 0, F.aggregate(blocks, start, block, lambda a: F.flatten(a["out"]))).otherwise(none)
+    short = F.aggregate(items, F.struct(state.alias("s"), none.alias("out")), one, lambda a: a["out"])
+    return F.when(F.size(items) <= BLOCK, short).otherwise(F.aggregate(blocks, start, block, lambda a: F.flatten(a["out"])))
 
 
 def _spans(text: Column, pattern: str, kind: int, values_group: int | None = None, least: int = 0) -> Column:
@@ -234,82 +235,35 @@ def scan(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFra
 def background(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """cls, bin, n: how many text windows of each length class depart how far, over all adjacent windows.
 
-    The same departure as ``departure`` gives, from bits: a letter is five bits, a window five numbers (ten, if longer
-    than WORD) that hold one bit of each of its letters. Letters, neighbours' products and changes of half are then
-    counted by and and bit_count for all letters of a number at once.
+    The same departure as ``departure`` gives, from sums shared by the classes:
+    products and changes of neighbours are added up once for every four letters.
     """
     letters = F.lower(F.regexp_replace(empty_if_null(text_col), "[^A-Za-z]+", ""))
     df = docs.select(F.explode(F.regexp_extract_all(letters, F.lit(f"[a-z]{{1,{PIECE}}}"), F.lit(0))).alias("piece"))
     df = df.where(F.length("piece") >= CLASSES[0])
-    # one text of 0 and 1 per bit, as bytes: those are cut at any place without walking there
-    df = df.select(F.length("piece").alias("size"), *[F.translate("piece", LOWER, "".join(
-        str(v >> p & 1) for v in range(len(LOWER)))).cast("binary").alias(f"bit{p}") for p in range(5)])
-    # letters of the first and second number; the first of two also holds the letter after, for the neighbours between
-    first = [n if n <= WORD else n // 2 + 1 for n in CLASSES]
-    second = [0 if n <= WORD else n // 2 for n in CLASSES]
-
-    def number(p: int, start: Column, n: int) -> Column:
-        return F.conv(F.substring(f"bit{p}", start + 1, F.lit(n)).cast("string"), 2, 10).cast("long")
+    # twice the distance from the middle letter, so that all sums are whole numbers
+    df = df.withColumn("v", F.transform(F.split("piece", ""), lambda c: F.ascii(c) * 2 - (2 * ord("a") + 25)))
+    # a neighbour's product, plus CHANGE where the two lie in different halves; the last letter has no neighbour
+    df = df.withColumn("p", F.zip_with("v", F.slice("v", F.lit(2), F.size("v")), lambda a, b: F.coalesce(
+        F.when(a * b < 0, a * b + CHANGE).otherwise(a * b), F.lit(0))))
+    df = df.withColumn("four", F.transform(F.sequence(F.lit(0), F.floor(F.size("p") / 4).cast("int") - 1), lambda k: (
+        F.get("p", k * 4) + F.get("p", k * 4 + 1) + F.get("p", k * 4 + 2) + F.get("p", k * 4 + 3))))
 
     def windows(cls: int, n: int) -> Column:
-        def one(k: Column) -> Column:
-            return F.struct(
-                F.lit(cls).alias("cls"), *[number(p, k * n, first[cls]).alias(f"a{p}") for p in range(5)],
-                *[(number(p, k * n + n // 2, second[cls]) if second[cls] else F.lit(0).cast("long")).alias(f"b{p}") for p in range(5)])
-
-        made = F.transform(F.sequence(F.lit(0), F.greatest(F.floor(F.col("size") / n).cast("int") - 1, F.lit(0))), one)
-        fields = ",".join(f"{w}{p}:bigint" for w in "ab" for p in range(5))
-        return F.when(F.col("size") >= n, made).otherwise(F.array().cast(f"array<struct<cls:int,{fields}>>"))
-
-    df = df.select(F.explode(F.concat(*[windows(i, n) for i, n in enumerate(CLASSES)])).alias("x")).select("x.*")
-
-    def of_class(values: list[int]) -> Column:
-        return F.get(F.array(*[F.lit(v).cast("long") for v in values]), F.col("cls"))
-
-    def both(columns) -> Column:
-        a, b = (columns(w) for w in "ab")
-        return a + b
-
-    # inner: all letters but the one without a neighbour behind it; own: letters that are not counted in the other number
-    df = df.withColumns({
-        "n": of_class(list(CLASSES)), "ina": of_class([(1 << k - 1) - 1 for k in first]),
-        "inb": of_class([(1 << k - 1) - 1 if k else 0 for k in second]),
-        "owna": of_class([(1 << min(k, n) if n <= WORD else 1 << k - 1) - 1 for k, n in zip(first, CLASSES)]),
-        "ownb": of_class([(1 << k) - 1 for k in second]),
-        **{f"ca{p}": F.when(F.col("cls") < sum(n <= WORD for n in CLASSES), F.col(f"a{p}")).otherwise(F.shiftright(f"a{p}", 1))
-           for p in range(5)}, **{f"cb{p}": F.col(f"b{p}") for p in range(5)}})
-
-    def having(w: str, value: int, bits: range) -> Column:
-        """Letters whose ``bits`` are those of ``value``."""
-        out = F.col(f"own{w}")
-        for p in bits:
-            out = out.bitwiseAND(F.col(f"c{w}{p}") if value >> p & 1 else F.bitwise_not(F.col(f"c{w}{p}")))
-        return out
-
-    def half(w: str) -> Column:
-        """Letters from the middle on: 13 = 01101 in bits."""
-        b = [F.col(f"{w}{p}") for p in range(5)]
-        return b[4].bitwiseOR(b[3].bitwiseAND(b[2]).bitwiseAND(b[0].bitwiseOR(b[1])))
-
-    df = df.select(
-        "cls", "n", "ina", "inb", *[f"{w}{p}" for w in "ab" for p in range(5)], *[half(w).alias(f"half{w}") for w in "ab"],
-        *[having(w, v, range(3, 5)).alias(f"high{w}{v}") for w in "ab" for v in range(0, 32, 8)],
-        *[having(w, v, range(3)).alias(f"low{w}{v}") for w in "ab" for v in range(8)])
-    squares = F.lit(0)
-    counts = [both(lambda w: F.bit_count(F.col(f"high{w}{v & 24}").bitwiseAND(F.col(f"low{w}{v & 7}")))) for v in range(len(LOWER))]
-    df = df.withColumns({
-        **{f"n{v}": c for v, c in enumerate(counts)},
-        "changes": both(lambda w: F.bit_count(F.col(f"half{w}").bitwiseXOR(F.shiftright(f"half{w}", 1)).bitwiseAND(F.col(f"in{w}")))),
-        "pairs": sum((both(lambda w: F.bit_count(F.col(f"{w}{p}").bitwiseAND(F.shiftright(f"{w}{q}", 1)))) * (1 << p + q)
-                      for p in range(5) for q in range(5)), F.lit(0)),
-        "sums": sum((both(lambda w: F.bit_count(F.shiftright(f"{w}{p}", 1)) + F.bit_count(F.col(f"{w}{p}").bitwiseAND(F.col(f"in{w}"))))
-                     * (1 << p) for p in range(5)), F.lit(0))})
-    for v in range(len(LOWER)):
-        squares = squares + F.col(f"n{v}") * F.col(f"n{v}")
-    # the sum of (2v - 25)(2w - 25) over neighbours v, w: four times that of their distances from the middle
-    products = (F.col("pairs") * 4 - F.col("sums") * 50 + (F.col("n") - 1) * 625) / 4
-    n, a = F.col("n").cast("double"), float(len(LOWER))
-    t = _score(F.lit(a), n, squares.cast("double"), F.col("changes").cast("double"), products)
+        last = F.greatest(F.floor(F.length("piece") / n).cast("int") - 1, F.lit(0))
+        products = F.transform(F.sequence(F.lit(0), last), lambda k: F.aggregate(
+            F.slice("four", k * (n // 4) + 1, F.lit(n // 4)), F.lit(0), lambda s, x: s + x) - F.get("p", k * n + (n - 1)))
+        found = F.zip_with(F.regexp_extract_all("piece", F.lit(f"[a-z]{{{n}}}"), F.lit(0)), products,
+                           lambda m, s: F.struct(F.lit(cls).alias("cls"), m.alias("m"), s.alias("s")))
+        return F.when(F.length("piece") >= n, found).otherwise(F.array().cast("array<struct<cls:int,m:string,s:int>>"))
+
+    df = df.select(F.explode(F.concat(*[windows(i, n) for i, n in enumerate(CLASSES)])).alias("x")).select("x.cls", "x.m", "x.s")
+    n, a, squares = F.length("m").cast("double"), float(len(LOWER)), F.lit(0)
+    for c in LOWER:
+        count = F.length("m") - F.length(F.replace("m", F.lit(c), F.lit("")))
+        squares = squares + count * count
+    changes = F.floor((F.col("s") + CHANGE // 2) / CHANGE)
+    t = _score(F.lit(a), n, squares.cast("double"), changes.cast("double"), (F.col("s") - changes * CHANGE) / 4.0)
     return df.select("cls", _bin(t).alias("bin")).groupBy("cls", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
