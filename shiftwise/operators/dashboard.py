@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftwise.functions.columns import safe_div
@@ -28,22 +28,36 @@ def kpi_overview(mart: DataFrame) -> DataFrame:
     return mart.agg(*_kpis())
 
 
+def _meets(filters: dict) -> Column:
+    cond = F.lit(True)
+    for name, value in filters.items():
+        values = list(value) if isinstance(value, (list, tuple, set, frozenset)) else [value]
+        cond = cond & F.col(name).isin(*values)
+    return cond
+
+
 def drilldown(mart: DataFrame, **filters) -> DataFrame:
     """Keep rows whose column values are in the given lists (or equal a scalar).
 
     ``drilldown(mart, store_type=["A"], site_readiness_status=["Watch", "At Risk"])``
     """
-    cond = F.lit(True)
-    for name, value in filters.items():
-        values = list(value) if isinstance(value, (list, tuple, set, frozenset)) else [value]
-        cond = cond & F.col(name).isin(*values)
-    return mart.where(cond)
+    return mart.where(_meets(filters))
 
 
 def kpi_drilldown(mart: DataFrame, **filters) -> DataFrame:
     return kpi_overview(drilldown(mart, **filters))
 
 
+def drilldown_report(mart: DataFrame, selections: dict[str, dict]) -> DataFrame:
+    """The KPI row of each named selection of filters, all in one pass over the mart.
+
+    A row counts in every selection that it meets; a selection that no row meets has no row.
+    """
+    names = [F.when(_meets(filters), F.lit(name)) for name, filters in selections.items()]
+    met = mart.withColumn("selection", F.explode(F.array_compact(F.array(*names))))
+    return met.groupBy("selection").agg(*_kpis())
+
+
 def sales_trend(mart: DataFrame) -> DataFrame:
     return (mart.groupBy("week_date").agg(
         F.sum("actual_weekly_sales").alias("actual_weekly_sales"),

@@ -38,9 +38,10 @@ MART_COLUMNS = (
 
 
 def mart_base(forecast: DataFrame, standards: DataFrame, schedule: DataFrame) -> DataFrame:
-    """forecast LEFT JOIN standards ON dept LEFT JOIN schedule ON (store, dept, date).
+    """forecast LEFT JOIN schedule ON (store, dept, date) LEFT JOIN standards ON dept.
 
-    The holiday flag is normalized to 1/0 as when the tables were loaded.
+    The schedule comes first, so that tables bucketed on its keys meet without a
+    shuffle. The holiday flag is normalized to 1/0 as when the tables were loaded.
     """
     f = forecast.select(
         *[F.col(c) for c in ("store", "dept")],
@@ -49,8 +50,8 @@ def mart_base(forecast: DataFrame, standards: DataFrame, schedule: DataFrame) ->
         *BASE_FORECAST[6:])
     ls = standards.select("dept", *BASE_STANDARDS)
     sch = schedule.select("store", "dept", F.to_date("date").alias("week_date"), *BASE_SCHEDULE)
-    return (f.join(ls, "dept", "left")
-            .join(sch, ["store", "dept", "week_date"], "left")
+    return (f.join(sch, ["store", "dept", "week_date"], "left")
+            .join(ls, "dept", "left")
             .select(*BASE_FORECAST, *BASE_STANDARDS, *BASE_SCHEDULE))
 
 

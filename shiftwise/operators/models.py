@@ -4,7 +4,8 @@
   (exact interpolated median by distributed selection);
 * one-hot encoding of store, dept, type and holiday from a category dictionary,
   where a value unseen in training sets nothing;
-* ridge regression (L2, unpenalized intercept, no standardization) by MLlib;
+* ridge regression (L2, unpenalized intercept, no standardization) by MLlib, or
+  by its normal equations with the widest category eliminated (``ridge``);
 * gradient-boosted trees (``boosting``).
 
 Only fitted parameters (medians, label moments, cuts, category counts, model
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftwise.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES, ForecastConfig
+from shiftwise.operators import ridge
 from shiftwise.operators.boosting import BoostConfig, BoostedModel, fit_boosting, with_prediction
 from shiftwise.operators.categories import category_dictionary, dense, onehot
 from shiftwise.operators.forecast import score_model
@@ -142,5 +144,14 @@ def ridge_forecast(p: Prepared, cfg: ForecastConfig = ForecastConfig()) -> DataF
     return forecast_with(fit(ridge_pipeline(p.train, cfg), p.train, cfg), p.holdout, RIDGE)
 
 
+def fit_normal_ridge(p: Prepared, cfg: ForecastConfig = ForecastConfig(), label: str = "weekly_sales") -> ridge.RidgeModel:
+    return ridge.fit_ridge(p.train, IMPUTED, CATEGORICAL_FEATURES, p.dictionary, label, cfg.ridge_alpha)
+
+
+def normal_ridge_forecast(p: Prepared, cfg: ForecastConfig = ForecastConfig()) -> DataFrame:
+    fitted = ridge.with_prediction(fit_normal_ridge(p, cfg), p.holdout, CATEGORICAL_FEATURES)
+    return score_model(fitted, RIDGE, "prediction")
+
+
 def gbt_forecast(p: Prepared, cfg: ForecastConfig = ForecastConfig()) -> DataFrame:
     return score_model(with_prediction(fit_gbt(p, cfg), p.holdout, p.dictionary), GBT, "prediction")

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from shiftwise.config import (CATEGORICAL_FEATURES, EXTERNAL_COLS, ForecastConfig, LAGS, MARKDOWN_COLS, NUMERIC_FEATURES,
                               REQUIRED_MODEL_COLS)
 from shiftwise.functions.columns import bool_to_int, slug
-from shiftwise.operators import dashboard, evaluate, mart, models, questions, rollups, validate
+from shiftwise.operators import dashboard, evaluate, mart, models, questions, ridge, rollups, validate
 from shiftwise.operators.prepare import join_inputs
 from shiftwise.operators.split import split_summary
 from shiftwise.operators.standards import dept_stats, volume_cutoffs
 from shiftwise.plans import load, sql_api
+from shiftwise.plans.colocated import colocated_base
 from shiftwise.plans.forecasting import run_forecast
 from shiftwise.plans.oracle import with_ctes
 from shiftwise.plans.pipeline import Workspace
@@ -181,6 +182,7 @@ def _base(w):
 
 
 register("mart_base", _base, "SELECT * FROM mart_base", ops="R1 D4 D5 B6 B8")
+register("mart_base_colocated", colocated_base, "SELECT * FROM mart_base", ops="D4 D5")
 register("mart_labor", lambda w: mart.mart_labor(_base(w)), "SELECT * FROM mart_labor", ops="R2-R4")
 register("mart_gap", lambda w: mart.mart_gap(mart.mart_labor(_base(w)), w.mcfg),
          "SELECT * FROM mart_gap", ops="R5-R11")
@@ -253,6 +255,26 @@ DRILL = {"store_type": ["A"], "site_readiness_status": ["Watch", "At Risk"]}
 register("kpi_drilldown", lambda w: dashboard.kpi_drilldown(w.mart, **DRILL),
          _KPI_SQL + " WHERE store_type IN ('A') AND site_readiness_status IN ('Watch', 'At Risk')",
          _kpi, ops="X6")
+#: The seven filters of the drill-down, each alone, and some together.
+SELECTIONS = {
+    "store": {"store": [1, 5, 12]}, "department": {"dept": [2, 3]}, "store type": {"store_type": ["B", "C"]},
+    "week": {"week_date": ["2001-08-13", "2001-09-03", "2001-10-22"]}, "holiday": {"is_holiday": 1},
+    "readiness": {"site_readiness_status": ["Watch", "At Risk"]}, "overtime": {"overtime_risk_flag": "At Risk"},
+    "stores of type A at risk": {"store_type": "A", "is_holiday": 0, "overtime_risk_flag": "At Risk"},
+}
+
+
+def _selections_sql() -> str:
+    def listed(value) -> str:
+        return ", ".join(repr(v) for v in (value if isinstance(value, list) else [value]))
+
+    parts = [f"SELECT '{name}' AS selection, * FROM mart WHERE " + " AND ".join(f"{c} IN ({listed(v)})" for c, v in f.items())
+             for name, f in SELECTIONS.items()]
+    kpis = _KPI_SQL.removeprefix("SELECT ").removesuffix("FROM mart")
+    return f"SELECT selection, {kpis} FROM ({' UNION ALL '.join(parts)}) GROUP BY selection"
+
+
+register("kpi_drilldown_filters", lambda w: dashboard.drilldown_report(w.mart, SELECTIONS), _selections_sql(), _kpi, ops="X6")
 _st = sums("actual_weekly_sales", "forecast_weekly_sales", "forecast_error")
 _st.update(ratios("wape", "variance_pct"))
 register("kpi_sales_trend", lambda w: dashboard.sales_trend(w.mart),
@@ -366,6 +388,44 @@ def _onehot_sql() -> str:
 
 register("onehot_holdout", _onehot, _onehot_sql(), ops="M5 M6")
 register("forecast_ridge", lambda w: w.ridge_forecasts, None, ops="M6 M7 M9 M10")
+register("forecast_ridge_normal", lambda w: models.normal_ridge_forecast(w.prepared, w.fcfg), None, ops="M7 M9 M10")
+
+
+def _ridge_gram(w):
+    cells = ridge.gram(w.prepared.train, models.IMPUTED, CATEGORICAL_FEATURES, w.prepared.dictionary, "weekly_sales")
+    return cells.withColumn("cosine", F.round("cosine", 6) + F.lit(0.0))
+
+
+def _ridge_residuals(w):
+    model = models.fit_normal_ridge(w.prepared, w.fcfg)
+    gaps = ridge.residuals(model, w.prepared.train, CATEGORICAL_FEATURES, "weekly_sales", w.fcfg.ridge_alpha)
+    return gaps.select("feature", (F.col("gap") < 1e-9).alias("solved"))
+
+
+def _ridge_gram_sql() -> str:
+    """Every training row as (feature, value) cells, joined with itself."""
+    imputed = ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM train), 0.0) AS {c}"
+                        for c in NUMERIC_FEATURES)
+    kinds = ", ".join(f"'{c}=' || CAST({c} AS VARCHAR) AS {c}_kind" for c in CATEGORICAL_FEATURES)
+    numbers = [f"SELECT id, '{c}' AS feature, {c} - avg({c}) OVER () AS x FROM x" for c in [*NUMERIC_FEATURES, "weekly_sales"]]
+    ones = [f"SELECT id, {c}_kind, 1.0::DOUBLE FROM x WHERE {c}_kind IS NOT NULL" for c in CATEGORICAL_FEATURES]
+    return f"""SELECT feature_a, feature_b, round(total / sqrt(left_square) / sqrt(right_square), 6) + 0.0 AS cosine
+        FROM (WITH x AS (SELECT row_number() OVER () AS id, {imputed}, {kinds}, weekly_sales FROM train),
+                   cells AS ({' UNION ALL '.join(numbers + ones)}),
+                   sums AS (SELECT p.feature AS feature_a, q.feature AS feature_b, sum(p.x * q.x) AS total
+                            FROM cells p JOIN cells q ON p.id = q.id AND p.feature <= q.feature
+                            GROUP BY p.feature, q.feature)
+              SELECT s.*, l.total AS left_square, r.total AS right_square FROM sums s
+              JOIN sums l ON l.feature_a = s.feature_a AND l.feature_b = s.feature_a
+              JOIN sums r ON r.feature_a = s.feature_b AND r.feature_b = s.feature_b) q
+        WHERE total <> 0"""
+
+
+register("ridge_gram", _ridge_gram, _ridge_gram_sql(), ops="M7")
+register("ridge_residuals", _ridge_residuals,
+         " UNION ALL ".join([*(f"SELECT '{c}' AS feature, true AS solved" for c in NUMERIC_FEATURES),
+                             *(f"SELECT DISTINCT '{c}=' || CAST({c} AS VARCHAR), true FROM train WHERE {c} IS NOT NULL"
+                               for c in CATEGORICAL_FEATURES)]), ops="M7")
 register("forecast_gbt_60_rounds", lambda w: w.gbt_forecasts, None, ops="M8 M9 M10")
 register("model_metrics_ml", lambda w: w.model_metrics, None, ops="M11 M13 M14")
 register("forecast_best_ml", lambda w: w.model_best, None, ops="M12")
