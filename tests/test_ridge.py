@@ -53,7 +53,7 @@ def test_equals_closed_form(spark, cats):
 
 
 def test_more_values_than_a_dense_system_holds(spark):
-    """6,000 values of one category: an oracle by per-value elimination in numpy, and the residual of every column."""
+    """6,000 values of one category: the normal equations hold for every column."""
     rng = np.random.default_rng(4)
     n = 30_000
     pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.normal(size=n), "flat": 0.0,
