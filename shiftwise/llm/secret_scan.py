@@ -21,6 +21,9 @@ ends exclusive; repeated rows are scanned each; an empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,8 @@ ENCODINGS = (
 CLASSES = (20, 28, 36, 48, 64, 96)  # least length of each length class, multiples of 4
 CHANGE = 1 << 20  # above twice any sum of a window's products, so both fit one number
 PIECE = 20160  # letters handled together: a multiple of every class's length, so no window is cut
+FIELD, PER_NUMBER = 7, 9  # bits of a letter's count in a window, and counts in one 64-bit number
+COUNTS = ("c0", "c1", "c2")  # the numbers that hold the 26 counts
 BLOCK = 256  # items of one inner pass of ``_running``
 BINS_PER_UNIT, LAST_BIN = 4, 400
 RATE = 0.05  # bound on the expected share of false discoveries
@@ -232,35 +237,92 @@ def scan(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFra
     }).drop("_assign", "_access", "_hex", "_run", "_left", "_pieces", "_tested")
 
 
+def _pair_tables() -> tuple[list[Column], Column]:
+    """By 36 * x + y of two base-36 digits (a letter's is 10 to 35): three tables of letter counts, and one of the neighbours' product.
+
+    A count has seven bits, enough for a window's letters; nine letters share a number. The product is of twice the
+    distances from the middle letter, plus CHANGE where the two lie in different halves; other digits are no neighbours.
+    """
+    def table(values: list[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")  # folded to a literal
+
+    def count(u: int, group: int) -> int:
+        return 1 << FIELD * (u % PER_NUMBER) if u >= 0 and u // PER_NUMBER == group else 0
+
+    def product(u: int, w: int) -> int:
+        p = (2 * u - 25) * (2 * w - 25)
+        return 0 if min(u, w) < 0 else p + CHANGE if p < 0 else p
+
+    pairs = [(x - 10, y - 10) for x in range(36) for y in range(36)]
+    return ([table([count(u, g) + count(w, g) for u, w in pairs]) for g in range(3)], table([product(u, w) for u, w in pairs]))
+
+
+def _starts(units: Column, size: int) -> Column:
+    """Where ``size`` adjacent units each begin, the whole ones (at least one, if need be of fewer)."""
+    last = F.greatest(F.floor(F.size(units) / size).cast("int") - 1, F.lit(0))
+    return F.sequence(F.lit(0), last * size, F.lit(size))
+
+
+def _sum_at(units: Column, k: Column, size: int) -> Column:
+    """Sum of ``size`` units from k, written out: a loop over a slice costs several times as much."""
+    return reduce(add, [F.get(units, k + j) for j in range(size)])
+
+
+def _field(structs: str, name: str) -> Column:
+    return F.transform(structs, lambda x: x[name])
+
+
+def _each(units: Column, size: int, last: bool) -> Column:
+    """Of every ``size`` adjacent units the last one, or the sum."""
+    return F.transform(_starts(units, size), lambda k: F.get(units, k + (size - 1)) if last else _sum_at(units, k, size))
+
+
 def background(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """cls, bin, n: how many text windows of each length class depart how far, over all adjacent windows.
 
-    The same departure as ``departure`` gives, from sums shared by the classes:
-    products and changes of neighbours are added up once for every four letters.
+    The same departure as ``departure`` gives, from sums shared by the classes: letter counts, and products and changes
+    of neighbours, of four letters each, read from tables over two letters.
     """
     letters = F.lower(F.regexp_replace(empty_if_null(text_col), "[^A-Za-z]+", ""))
     df = docs.select(F.explode(F.regexp_extract_all(letters, F.lit(f"[a-z]{{1,{PIECE}}}"), F.lit(0))).alias("piece"))
     df = df.where(F.length("piece") >= CLASSES[0])
-    # twice the distance from the middle letter, so that all sums are whole numbers
-    df = df.withColumn("v", F.transform(F.split("piece", ""), lambda c: F.ascii(c) * 2 - (2 * ord("a") + 25)))
-    # a neighbour's product, plus CHANGE where the two lie in different halves; the last letter has no neighbour
-    df = df.withColumn("p", F.zip_with("v", F.slice("v", F.lit(2), F.size("v")), lambda a, b: F.coalesce(
-        F.when(a * b < 0, a * b + CHANGE).otherwise(a * b), F.lit(0))))
-    df = df.withColumn("four", F.transform(F.sequence(F.lit(0), F.floor(F.size("p") / 4).cast("int") - 1), lambda k: (
-        F.get("p", k * 4) + F.get("p", k * 4 + 1) + F.get("p", k * 4 + 2) + F.get("p", k * 4 + 3))))
-
-    def windows(cls: int, n: int) -> Column:
-        last = F.greatest(F.floor(F.length("piece") / n).cast("int") - 1, F.lit(0))
-        products = F.transform(F.sequence(F.lit(0), last), lambda k: F.aggregate(
-            F.slice("four", k * (n // 4) + 1, F.lit(n // 4)), F.lit(0), lambda s, x: s + x) - F.get("p", k * n + (n - 1)))
-        found = F.zip_with(F.regexp_extract_all("piece", F.lit(f"[a-z]{{{n}}}"), F.lit(0)), products,
-                           lambda m, s: F.struct(F.lit(cls).alias("cls"), m.alias("m"), s.alias("s")))
-        return F.when(F.length("piece") >= n, found).otherwise(F.array().cast("array<struct<cls:int,m:string,s:int>>"))
-
-    df = df.select(F.explode(F.concat(*[windows(i, n) for i, n in enumerate(CLASSES)])).alias("x")).select("x.cls", "x.m", "x.s")
-    n, a, squares = F.length("m").cast("double"), float(len(LOWER)), F.lit(0)
-    for c in LOWER:
-        count = F.length("m") - F.length(F.replace("m", F.lit(c), F.lit("")))
+    # four letters and the one behind them (0: none) as one base-36 number
+    fives = F.regexp_extract_all(F.concat("piece", F.lit("0")), F.lit("(?=(.{5})).{4}"), F.lit(1))
+    counts, products = _pair_tables()
+
+    def unit(x: Column) -> Column:
+        def pair(behind: int) -> Column:
+            return F.call_function("div", x, F.lit(36 ** behind)) % 1296 if behind else x % 1296
+
+        link = F.get(products, pair(0))
+        return F.struct(*[(F.get(t, pair(3)) + F.get(t, pair(1))).alias(c) for c, t in zip(COUNTS, counts)],
+                        (F.get(products, pair(3)) + F.get(products, pair(2)) + F.get(products, pair(1)) + link).alias("s"),
+                        link.alias("link"))
+
+    parts = (*COUNTS, "s", "link")
+    kind = f"array<struct<cls:int,n:int,{','.join(f'{c}:bigint' for c in COUNTS)},s:bigint>>"
+
+    def windows(four: Column, sixteen: Column, cls: int, n: int) -> Column:
+        units, size = (sixteen, n // 16) if n % 16 == 0 else (four, n // 4)
+        found = F.transform(_starts(units["s"], size), lambda k: F.struct(
+            F.lit(cls).alias("cls"), F.lit(n).alias("n"), *[_sum_at(units[c], k, size).alias(c) for c in COUNTS],
+            (_sum_at(units["s"], k, size) - F.get(units["link"], k + (size - 1))).alias("s")))
+        return F.when(F.length("piece") >= n, found).otherwise(F.array().cast(kind))
+
+    def bound(columns: Column, inner) -> Column:
+        """The array ``inner`` gives, with the columns bound to a lambda's variable: computed once, not once an element."""
+        return F.flatten(F.transform(F.array(columns), inner))
+
+    def all_windows(four: Column) -> Column:
+        sixteen = F.struct(*[_each(four[c], 4, c == "link").alias(c) for c in parts])
+        return bound(sixteen, lambda wide: F.concat(*[windows(four, wide, i, n) for i, n in enumerate(CLASSES)]))
+
+    df = df.withColumn("four", F.transform(F.transform(fives, lambda q: F.conv(q, 36, 10).cast("int")), unit))
+    columns = F.struct(*[_field("four", c).alias(c) for c in parts])
+    df = df.select(F.explode(bound(columns, all_windows)).alias("x")).select("x.*")
+    n, a, squares = F.col("n").cast("double"), float(len(LOWER)), F.lit(0)
+    for u in range(len(LOWER)):
+        count = F.shiftright(COUNTS[u // PER_NUMBER], FIELD * (u % PER_NUMBER)).bitwiseAND(F.lit((1 << FIELD) - 1))
         squares = squares + count * count
     changes = F.floor((F.col("s") + CHANGE // 2) / CHANGE)
     t = _score(F.lit(a), n, squares.cast("double"), changes.cast("double"), (F.col("s") - changes * CHANGE) / 4.0)

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 import string
 
 import brute
@@ -109,6 +110,28 @@ def test_background_counts_every_adjacent_window(spark):
     assert {(r["cls"], r["bin"]): r["n"] for r in got} == want
 
 
+def test_background_reads_counts_from_shared_sums(spark):
+    """No letter is searched for in every window (26 passes over each of six classes before), and full counts fit their bits."""
+    texts = [c * n for c in "aijrsz" for n in (20, 27, 96, 97, 20160, 20163)] + ["az" * 48, "mn" * 5000]
+    d = spark.createDataFrame([(x,) for x in texts], "text string")
+    got = background(d)
+    assert not re.findall(r"(?<!_)replace\(", got._jdf.queryExecution().optimizedPlan().toString())
+    want = {}
+    for text in texts:
+        v = [ord(c) - 97 for c in text]
+        for cls, n in enumerate(CLASSES):
+            seen = {}  # windows of one text differ in few ways
+            for at in range(0, len(v) - n + 1, n):
+                w = tuple(v[at:at + n])
+                if w not in seen:
+                    chi = (26 * sum(w.count(x) ** 2 for x in set(w)) / n - n - 25) / math.sqrt(50 * (n - 1) / n)
+                    runs = (sum((a > 12.5) != (b > 12.5) for a, b in zip(w, w[1:])) - (n - 1) / 2) / math.sqrt((n - 1) / 4)
+                    serial = sum((a - 12.5) * (b - 12.5) for a, b in zip(w, w[1:])) / (675 / 12) / math.sqrt(n - 1)
+                    seen[w] = (cls, min(int(4 * (max(chi, 0) ** 2 + runs ** 2 + serial ** 2)), 400))
+                want[seen[w]] = want.get(seen[w], 0) + 1
+    assert {(r["cls"], r["bin"]): r["n"] for r in got.collect()} == want
+
+
 def test_one_key_among_many_runs_of_few_long_documents(docs):
     """Three texts give 12 windows of a class if each gives four: no p-value under 1/13, and nothing found."""
     rng = random.Random(3)
