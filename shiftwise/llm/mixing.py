@@ -167,11 +167,22 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed documents: whole copies as often as taken, and where the quota ends inside a
-    document its first words. Columns are those of ``docs`` (n_chars, if there, counts the text kept)."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    rows = mix(sized(docs, [F.col("doc_id"), own]), "mix_stage").select("_row", "size", "taken")
-    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
-    rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
+    document its first words. Columns are those of ``docs`` (n_chars, if there, counts the text kept).
+
+    Only ids, hashes and sizes are put in order; the texts meet what is taken of them in one exchange.
+    """
+    key = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
+           F.xxhash64("source", "text").alias("_key")]
+    at = ["_id", "_none", "_key"]
+    mixed = mix(sized(docs, [F.col("doc_id"), *key]), "mix_stage")
+    # rows equal in id, source and text are as good as each other: the first of them by their other columns takes the most
+    takes = mixed.groupBy(*at).agg(F.first("size").alias("_size"), F.sort_array(F.collect_list("taken"), asc=False).alias("_takes"))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *key)
+    others = [F.col(f"_row.`{c}`") for c in docs.columns if c not in ("doc_id", "source", "text")]
+    nth = F.row_number().over(Window.partitionBy(*at).orderBy(*others, F.lit(0)))
+    rows = own.join(takes, at).withColumn("_taken", F.get("_takes", nth - 1))
+    whole = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size"))).otherwise(0)
+    rest = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(0)
     copies = rows.withColumn("_cut", F.explode(F.concat(
         F.array_repeat(F.lit(0).cast("long"), whole.cast("int")),
         F.when(rest > 0, F.array(rest.cast("long"))).otherwise(F.array().cast("array<long>")))))

@@ -42,7 +42,7 @@ from shiftwise.llm.common import WORD, empty_if_null, table
 from shiftwise.llm.fill_middle import text_parts
 from shiftwise.llm.hashing import (SKETCH_BITS, SLICE, add_up, bucket, in_marks, marked, mix, shingle_sets,
                                    sliced)
-from shiftwise.session import materialize, remove_folder, run_folder
+from shiftwise.session import materialize, remove_folder, run_folder, scratch
 
 WORDS = 5
 PERCENT = 75
@@ -247,13 +247,18 @@ def cross_pairs(lists: DataFrame, tried: DataFrame | None, percent: int) -> Data
 def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(documents, classes): per document doc_id, key, cls, n_shingles; per class cls and component_id.
 
-    ``texts`` has doc_id, key and text.
+    ``texts`` has doc_id, key and text. Only the two tables stay written.
     """
+    with scratch(texts.sparkSession):
+        return _linked(texts, size, percent)
+
+
+def _linked(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     spark = texts.sparkSession
     sketch = spark.sparkContext.broadcast(shingle_sketch(texts, size))
     first_run = uuid.uuid4().hex
     long_rows = materialize(prefixes(texts, sketch, size, percent), "join_prefixes", first_run)
-    docs = materialize(long_rows.drop("prefix"), "join_docs")
+    docs = materialize(long_rows.drop("prefix"), "join_docs", kept=True)
     wordy = long_rows.where("cls is not null")
     classes = materialize(wordy.groupBy("cls").agg(F.min("doc_id").alias("rep")), "join_classes")
     firsts = wordy.groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
@@ -289,7 +294,7 @@ def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple
         named = named.join(ids, "comp").select("cls", "component_id")
     else:
         named = named.select("cls", F.col("rep").alias("component_id"))
-    return docs, materialize(named, "join_components")
+    return docs, materialize(named, "join_components", kept=True)
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -311,12 +316,15 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = (rows.where("cls is not null").select("doc_id", "key", "cls").join(classes, "cls")
              .groupBy(F.coalesce("component_id", "cls").alias("grp"), F.col("component_id").isNull().alias("anon"))
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("w")))
-    winners = materialize(first.select(F.col("w.doc_id").alias("_id"), F.col("w.key").alias("_key")).distinct(), "join_kept")
+    at = ["_id", "_none", "_text_key"]  # without nulls, so that the join and the window share one exchange of the texts
+    winners = materialize(first.select(F.coalesce("w.doc_id", F.lit(0)).alias("_id"), F.col("w.none").alias("_none"),
+                                       F.col("w.key").alias("_text_key")).distinct(), "join_kept")
     wordy = F.coalesce(F.rlike("text", F.lit(WORD)), F.lit(False))
-    own = docs.where(wordy).withColumn("_text_key", F.xxhash64("text"))
-    won = own.join(winners, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
+    own = docs.where(wordy).withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_none": F.col("doc_id").isNull(),
+                                         "_text_key": F.xxhash64("text")})
+    won = own.join(winners, at, "left_semi")
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    once = Window.partitionBy("doc_id", "_text_key").orderBy(*others, F.lit(0))
+    once = Window.partitionBy(*at).orderBy(*others, F.lit(0))
     won = won.withColumn("_nth", F.row_number().over(once)).where("_nth = 1")
     return won.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where(~wordy))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,14 +79,39 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def materialize(df: DataFrame, name: str, run_id: str | None = None) -> DataFrame:
+#: Deletes the shuffle files of a query when it ends; otherwise they stay until the driver happens to collect garbage.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_scratch: list[list[str]] = []  # the run folders of the scratch blocks that are open
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes on leaving what :func:`materialize` wrote inside, but for tables that are ``kept`` or have a run id."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for folder in _scratch.pop():
+            remove_folder(spark, folder)
+
+
+def materialize(df: DataFrame, name: str, run_id: str | None = None, kept: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
     Cuts lineage so a lost executor re-reads files instead of recomputing the
     whole upstream plan, and gives the planner real file sizes for its join
-    choices.
+    choices. The query's shuffle files go when it has written. A ``kept`` table
+    outlives the innermost :func:`scratch` block.
     """
     spark = df.sparkSession
-    path = f"{run_folder(spark, run_id)}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    folder = run_folder(spark, run_id)
+    if run_id is None and len(_scratch) > kept:
+        _scratch[-2 if kept else -1].append(folder)
+    path = f"{folder}/{name}"
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,8 @@
+import os
 import random
+import subprocess
+import sys
+import tempfile
 from collections import Counter, defaultdict
 
 import brute
@@ -6,7 +10,7 @@ import corpus_pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from shiftwise.session import materialize
+from shiftwise.session import checkpoint_dir, materialize
 
 
 def test_stages_on_a_small_table(spark, docs, tmp_path):
@@ -80,3 +84,51 @@ def test_repeated_rows_take_part_once_each(spark, docs):
         out = materialize(stage(spark, out, ""), f"repeat_{name}")
         sizes[name] = out.count()
     assert sizes["quality_rules"] in (0, 5) and sizes["near_duplicates"] <= 1
+
+
+def _written(spark):
+    tables = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "tables")
+    return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(tables) for f in files if f.endswith(".parquet")}
+
+
+def test_run_leaves_its_result_only(spark):
+    before = _written(spark)
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = [f for f in _written(spark) if f not in before]
+    assert left and all("/pack/" in f for f in left) and out.count()
+
+
+def test_stages_write_no_text_twice(spark, docs):
+    """The mix puts ids and sizes in order, not texts; the join leaves two narrow tables."""
+    rng = random.Random(8)
+    text = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(4000)) for _ in range(24)]
+    d = materialize(docs([(i, t, "en", f"s{i % 2}") for i, t in enumerate(text)]), "test_narrow")
+    for stage in (corpus_pipeline.mixing.stage, corpus_pipeline.ngram_join.stage):
+        before = _written(spark)
+        got = stage(spark, d, "")
+        left = {f: n for f, n in _written(spark).items() if f not in before}
+        assert sum(left.values()) < sum(map(len, text)) / 4, stage.__module__
+        assert got.count() >= 1
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    folder = tempfile.mkdtemp(prefix="shuffles-")
+    code = (
+        "import glob; from shiftwise.session import get_session, materialize\n"
+        f"s = get_session('local[2]', 4, extra={{'spark.local.dir': {folder!r}}}, driver_memory='1g')\n"
+        "materialize(s.range(100000).selectExpr('id % 1000 k').groupBy('k').count(), 'x')\n"
+        f"print('left', len(glob.glob({folder!r} + '/**/shuffle_*.data', recursive=True)))\n"
+        "s.stop()\n")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=os.path.dirname(corpus_pipeline.__file__))
+    assert "left 0" in out.stdout, out.stdout + out.stderr[-2000:]
+
+
+def test_mix_of_repeated_and_null_ids(spark, docs):
+    """Rows equal in id, source and text, with and without an id, each take their own share."""
+    rows = [(1, "one two three four", "en", "a")] * 3 + [(None, "five six seven", "en", "a")] * 2 + [(None, "eight", "de", "b"), (0, "nine ten", "en", "b"),
+            (0, None, "en", "b"), (2, "w " * 200, "en", None)]
+    d = docs(rows)
+    want = sum(r["taken"] for r in corpus_pipeline.mixing.mix_sources(d).collect())
+    got = corpus_pipeline.mixing.stage(spark, d, "").collect()
+    assert sum(len(brute.words(r["text"])) for r in got) == want
+    assert {(r["doc_id"], r["source"]) for r in got} <= {(r[0], r[3]) for r in rows}
