@@ -256,19 +256,21 @@ def linked(texts: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple
 def _linked(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     spark = texts.sparkSession
     sketch = spark.sparkContext.broadcast(shingle_sketch(texts, size))
-    first_run = uuid.uuid4().hex
+    first_run, firsts_run = uuid.uuid4().hex, uuid.uuid4().hex
     long_rows = materialize(prefixes(texts, sketch, size, percent), "join_prefixes", first_run)
     docs = materialize(long_rows.drop("prefix"), "join_docs", kept=True)
     wordy = long_rows.where("cls is not null")
     classes = materialize(wordy.groupBy("cls").agg(F.min("doc_id").alias("rep")), "join_classes")
     firsts = wordy.groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+    firsts = materialize(firsts, "join_firsts", firsts_run)
+    remove_folder(spark, run_folder(spark, first_run))  # before the entries take their place on disk
     entries = firsts.select("cls", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "h"))
     # dealt once by shingle for both the count and the join; both stream, so no task holds a frequent shingle's list
     entries = entries.repartition("h")
     often = entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h")
     shared = entries.join(often, "h", "left_semi")
     lists = materialize(shared.withColumn("rich", F.count(F.lit(1)).over(Window.partitionBy("cls"))), "join_lists")
-    remove_folder(spark, run_folder(spark, first_run))  # the prefixes live on in the lists
+    remove_folder(spark, run_folder(spark, firsts_run))  # the prefixes live on in the lists
     labels = links = tried = None
     for step in range(STAR_ROUNDS + 1):
         here = lists.withColumn("comp", F.col("cls")) if labels is None else (

@@ -1,8 +1,11 @@
+import os
 import random
 
 import brute
 
+from shiftwise.llm import ngram_join as module
 from shiftwise.llm.ngram_join import ngram_join, stage
+from shiftwise.session import checkpoint_dir, materialize
 
 
 def result(df):
@@ -57,3 +60,19 @@ def test_stage_keeps_one_of_each(spark, docs):
     want = {c for _, n, c in brute.join_components([r for r in rows if r[0] is not None]) if n}
     ids = [r["doc_id"] for r in got.collect()]
     assert sorted(i for i in ids if i is not None) == sorted([*want, 900, 901, 901]) and ids.count(None) == 1
+
+
+def test_entries_are_written_without_the_documents_prefixes(spark, docs, monkeypatch):
+    """The entries are the join's largest exchange: by then the prefixes of all documents are off the disk."""
+    seen = {}
+
+    def watched(df, name, *args, **kwargs):
+        tables = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "tables")
+        seen[name] = {t for run in os.listdir(tables) for t in os.listdir(os.path.join(tables, run))}
+        return materialize(df, name, *args, **kwargs)
+
+    monkeypatch.setattr(module, "materialize", watched)
+    rows = ngram_join(docs([(i, f"some words of a text that comes twice {i // 2}") for i in range(8)])).collect()
+    assert {r["component_id"] for r in rows} == {0, 2, 4, 6}
+    assert "join_prefixes" in seen["join_firsts" if "join_firsts" in seen else "join_lists"]
+    assert "join_prefixes" not in seen["join_lists"]
